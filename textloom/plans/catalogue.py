@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+from textloom.functions.dialect import Oracle, Spark
+from textloom.operators import tables, text
+from textloom.sources.parquet import TABLES, register
+
+OPERATORS = text.QUERIES | tables.QUERIES
+
+
+def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs an operator over the tables of a folder."""
+    sql = OPERATORS[name](Spark())
+    register(spark, sf_dir, [t for t in TABLES if re.search(rf"\b{t}\b", sql)])
+    return spark.sql(sql)
+
 
 def queries() -> dict:
-    return {}
+    return {name: (lambda spark, sf_dir, name=name: run(name, spark, sf_dir)) for name in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: make(Oracle()) for name, make in OPERATORS.items()}
