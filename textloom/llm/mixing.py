@@ -38,7 +38,7 @@ TOPICS = 8
 #: Target shares of tokens.
 TARGETS: dict[str, dict[str, float]] = {
     "source": {"src0": 0.30, "*": 0.70},
-    "lang": {"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.12, "*": 0.0},
+    "lang": {"en": 0.57, "de": 0.15, "fr": 0.14, "es": 0.12, "*": 0.02},
     "topic": {str(i): 1 / TOPICS for i in range(TOPICS)},
 }
 #: How far each dimension moves from its present shares (0) to its targets (1), geometrically.
