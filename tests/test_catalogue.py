@@ -25,7 +25,7 @@ def plain(v):
     return round(float(v), 4) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.OPERATORS))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_same_as_sql(spark, duck, name):
     df = catalogue.queries()[name](spark, SF)
     cols = sorted(df.columns)

@@ -11,12 +11,12 @@ def tokens(q):
 
 
 def themes(q):
-    """(conv, theme): event types of a user in order stand in for themes of a text."""
-    return "(SELECT DISTINCT user_id AS conv, event_type AS theme FROM events WHERE event_id % 7 < 3)"
+    """(conv, theme): the three most frequent terms of a document, the cap that labels carry."""
+    return f"(SELECT conv, theme FROM (SELECT doc_id AS conv, term AS theme, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, term) AS r FROM {tokens(q)} z GROUP BY doc_id, term) y WHERE r <= 3)"
 
 
 def g1_counts(q):
-    return "SELECT event_type AS theme, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type"
+    return f"SELECT theme, CAST(count(*) AS BIGINT) AS n FROM {themes(q)} t GROUP BY theme"
 
 
 def g2_cooccurrence(q):
@@ -40,7 +40,7 @@ def g7_information(q):
     t = themes(q)
     return doubles(q, f"""SELECT a, b, round(mi, 6) AS mi FROM (SELECT g.a, g.b, (g.n / CAST(s.total AS DOUBLE)) * log2((g.n / CAST(s.total AS DOUBLE)) / ((x.n / CAST(s.total AS DOUBLE)) * (y.n / CAST(s.total AS DOUBLE)) + 0.0000000001D)) AS mi
       FROM ({g2_cooccurrence(q)}) g JOIN (SELECT theme, count(*) AS n FROM {t} u GROUP BY theme) x ON g.a = x.theme JOIN (SELECT theme, count(*) AS n FROM {t} v GROUP BY theme) y ON g.b = y.theme
-      CROSS JOIN (SELECT count(*) AS total FROM {t} w) s WHERE g.a < g.b) m ORDER BY mi DESC, a, b LIMIT 20""")
+      CROSS JOIN (SELECT count(*) AS total FROM {t} w) s WHERE g.a < g.b) m ORDER BY round(mi, 9) DESC, a, b LIMIT 20""")
 
 
 def g9_stats(q):

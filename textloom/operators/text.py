@@ -95,6 +95,41 @@ def pos(q, p):
     return f"instr(reverse(substring(text, 1, 500)), reverse({p}))"
 
 
+def ends_at(q, x):
+    """Where the last sentence mark stands (from 1; 0: none)."""
+    last = lambda c: f"(CASE WHEN {q.contains(x, chr(39) + c + chr(39))} THEN length({x}) - instr(reverse({x}), '{c}') + 1 ELSE 0 END)"
+    return f"greatest({last('.')}, {last('?')}, {last('!')})"
+
+
+def c9_answer(q):
+    # The first 200 words, up to the last sentence mark if that lies beyond 70 %, else marked as cut.
+    short = f"SELECT doc_id, {q.size(q.words('text'))} AS n, {q.join(q.slice(q.words('text'), '1', '200'), ' ')} AS cut FROM documents"
+    end = ends_at(q, "cut")
+    return f"SELECT doc_id, md5(CASE WHEN n <= 200 THEN cut WHEN {end} - 1 > length(cut) * 0.7 THEN substring(cut, 1, {end}) ELSE concat(cut, '...') END) AS answer_md5 FROM ({short}) s"
+
+
+def c10_speech(q):
+    end = ends_at(q, "cut")
+    return f"SELECT doc_id, md5(CASE WHEN n > 3500 AND {end} - 1 > 1750 THEN substring(cut, 1, {end}) ELSE cut END) AS spoken_md5 FROM (SELECT doc_id, length(text) AS n, substring(text, 1, 3500) AS cut FROM documents) s"
+
+
+def c4_sanitise(q):
+    clean = q.replace_all("text", r"[^\p{L}\p{N}_\s]", "")
+    return f"SELECT conv_id, turn, md5({clean}) AS clean_md5, {clean} <> text AS changed FROM conversations"
+
+
+def s3_assembly(q):
+    # Turns in order, joined as pages of a document.
+    agg = "array_join(transform(array_sort(collect_list(struct(turn, text))), x -> x.text), '\n\n')" if type(q).__name__ == "Spark" else "string_agg(text, chr(10) || chr(10) ORDER BY turn)"
+    return f"SELECT conv_id, md5({agg}) AS text_md5 FROM conversations GROUP BY conv_id"
+
+
+def b3_themes(q):
+    # Up to five capitalised words and three hyphenated ones, ASCII.
+    caps, hyphens = q.find("text", "[A-Z][a-z]+"), q.find("text", "[A-Za-z]+[-_][A-Za-z]+")
+    return f"SELECT doc_id, {q.join(q.slice(caps, '1', '5'), ',')} AS capitalised, {q.join(q.slice(hyphens, '1', '3'), ',')} AS joined FROM documents"
+
+
 def c13_checkpoint(q):
     n = "regexp_extract(url, r'/([0-9]+)', 1)" if type(q).__name__ == "Spark" else "regexp_extract(url, '/([0-9]+)', 1)"
     return f"SELECT max(CAST(nullif({n}, '') AS BIGINT)) AS latest FROM pages"
@@ -179,13 +214,13 @@ def doubles(q, sql):
 def q_scores(q):
     p = parts(q)
     cols = ", ".join(f"round({v}, 6) AS {k}" for k, v in p.items())
-    return doubles(q, f"SELECT doc_id, {cols} FROM documents WHERE lang = 'en'")
+    return doubles(q, f"SELECT doc_id, {cols} FROM documents")
 
 
 def q_all(q):
     p = parts(q)
     total = f"(0.10D * ({p['len_q']}) + 0.20D * ({p['coh_q']}) + 0.20D * ({p['inf_q']}) + 0.15D * ({p['str_q']}) + 0.15D * ({p['lin_q']})) / 0.80D"
-    return doubles(q, f"SELECT doc_id, round({total}, 5) AS quality FROM documents WHERE lang = 'en'")
+    return doubles(q, f"SELECT doc_id, round({total}, 5) AS quality FROM documents")
 
 
 def f5_gate(q):
@@ -248,7 +283,7 @@ def w7_splits(q):
 QUERIES = {
     "F1_ingest_validator": f1_ingest, "F2_formatter_validator": f2_validate, "F3_source_filter": f3_source, "F5_quality_gate": f5_gate, "F10_retrieval_needed": f10_needs_retrieval, "F11_memory_context": f11_memory,
     "F12_policy": f12_policy, "F13_unsafe_prompt": f13_unsafe, "F14_expert_predicates": f14_experts, "F16_generation_config": f16_generation, "F17_theme_filter": f17_themes, "P1_training_projection": p1_projection,
-    "P3_metadata": p3_metadata, "P5_author": p5_author, "C7_summary_stub": c7_summary, "C8_smart_truncate": c8_truncate, "C11_cache_key": c11_cache_key, "C13_checkpoint_number": c13_checkpoint, "T1_word_windows": t1_windows,
+    "P3_metadata": p3_metadata, "P5_author": p5_author, "C7_summary_stub": c7_summary, "C8_smart_truncate": c8_truncate, "C11_cache_key": c11_cache_key, "C4_sanitise": c4_sanitise, "C9_answer_truncate": c9_answer, "C10_speech_truncate": c10_speech, "S3_assembly": s3_assembly, "B3_heuristic_themes": b3_themes, "C13_checkpoint_number": c13_checkpoint, "T1_word_windows": t1_windows,
     "T2_fixed_chunks": t2_fixed, "T5_chunk_validation": t5_chunk_valid, "T9_prompts": t9_prompts, "D1_exact_dedup": d1_md5, "D2_clean_dedup": d2_clean, "D3_sha_dedup": d3_sha, "D4_split_dedup": d4_split, "D9_ordered_distinct": d9_distinct,
     "Q_scores": q_scores, "Q_all": q_all, "B4_content_type": b4_content, "B5_theme_normaliser": b5_theme, "T3_sentences": a3_sentences, "A1_pairs": a1_pairs, "J2_pairing": j2_pairing, "W1_order": w1_order, "W2_context": w2_context, "A5_splits": w7_splits,
 }

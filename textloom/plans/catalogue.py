@@ -7,10 +7,13 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.functions.dialect import Oracle, Spark
-from textloom.operators import tables, text
+from textloom.operators import folds, programs, tables, text
 from textloom.sources.parquet import TABLES, register
+from textloom.streaming import streams
 
 OPERATORS = text.QUERIES | tables.QUERIES
+#: Beyond SQL, or with SQL of their own.
+PROGRAMS = folds.PROGRAMS | programs.PROGRAMS | streams.PROGRAMS
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +24,8 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {name: (lambda spark, sf_dir, name=name: run(name, spark, sf_dir)) for name in OPERATORS}
+    return {name: (lambda spark, sf_dir, name=name: run(name, spark, sf_dir)) for name in OPERATORS} | PROGRAMS
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: make(Oracle()) for name, make in OPERATORS.items()}
+    return {name: make(Oracle()) for name, make in OPERATORS.items()} | streams.ORACLE_SQL | programs.ORACLE_SQL
