@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.functions.dialect import Oracle, Spark
 from textloom.operators import folds, programs, tables, text
+from textloom.plans import ranking
 from textloom.sources.parquet import TABLES, register
 from textloom.streaming import streams
 
 OPERATORS = text.QUERIES | tables.QUERIES
 #: Beyond SQL, or with SQL of their own.
-PROGRAMS = folds.PROGRAMS | programs.PROGRAMS | streams.PROGRAMS
+PROGRAMS = folds.PROGRAMS | programs.PROGRAMS | streams.PROGRAMS | ranking.PROGRAMS
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
