@@ -241,6 +241,15 @@ def a3_sentences(q):
     return f"SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum({q.length('item')}) AS BIGINT) AS chars FROM {q.explode('documents', 'doc_id', q.sentences('text'))} s GROUP BY doc_id"
 
 
+def b7_label(q):
+    # The most frequent terms as themes; the content type where there are none.
+    from textloom.operators.tables import themes
+
+    top = f"SELECT conv, min(CASE WHEN r = 1 THEN theme END) AS first_theme, CAST(count(*) AS BIGINT) AS k FROM {themes(q).replace('SELECT conv, theme FROM', 'SELECT conv, theme, r FROM', 1)} t GROUP BY conv"
+    return doubles(q, f"""SELECT b.doc_id, coalesce(t.first_theme, b.kind) AS primary_theme, CASE WHEN t.k IS NULL THEN 0.3D ELSE least(0.8D, 0.5D + 0.1D * t.k) END AS confidence
+      FROM ({b4_content(q)}) b LEFT JOIN ({top}) t ON b.doc_id = t.conv""")
+
+
 PAIR_BASE = """SELECT conv_id, turn, role, text, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
   lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text FROM ({src}) k"""
 
@@ -285,5 +294,5 @@ QUERIES = {
     "F12_policy": f12_policy, "F13_unsafe_prompt": f13_unsafe, "F14_expert_predicates": f14_experts, "F16_generation_config": f16_generation, "F17_theme_filter": f17_themes, "P1_training_projection": p1_projection,
     "P3_metadata": p3_metadata, "P5_author": p5_author, "C7_summary_stub": c7_summary, "C8_smart_truncate": c8_truncate, "C11_cache_key": c11_cache_key, "C4_sanitise": c4_sanitise, "C9_answer_truncate": c9_answer, "C10_speech_truncate": c10_speech, "S3_assembly": s3_assembly, "B3_heuristic_themes": b3_themes, "C13_checkpoint_number": c13_checkpoint, "T1_word_windows": t1_windows,
     "T2_fixed_chunks": t2_fixed, "T5_chunk_validation": t5_chunk_valid, "T9_prompts": t9_prompts, "D1_exact_dedup": d1_md5, "D2_clean_dedup": d2_clean, "D3_sha_dedup": d3_sha, "D4_split_dedup": d4_split, "D9_ordered_distinct": d9_distinct,
-    "Q_scores": q_scores, "Q_all": q_all, "B4_content_type": b4_content, "B5_theme_normaliser": b5_theme, "T3_sentences": a3_sentences, "A1_pairs": a1_pairs, "J2_pairing": j2_pairing, "W1_order": w1_order, "W2_context": w2_context, "A5_splits": w7_splits,
+    "Q_scores": q_scores, "Q_all": q_all, "B4_content_type": b4_content, "B7_label": b7_label, "B5_theme_normaliser": b5_theme, "T3_sentences": a3_sentences, "A1_pairs": a1_pairs, "J2_pairing": j2_pairing, "W1_order": w1_order, "W2_context": w2_context, "A5_splits": w7_splits,
 }
