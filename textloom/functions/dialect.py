@@ -67,6 +67,20 @@ class Spark:
     def json(self, x: str, key: str) -> str:
         return f"get_json_object({x}, '$.{key}')"
 
+    def each(self, x: str, body: str) -> str:
+        """``body`` for each item ``x`` at place ``i`` (from 1)."""
+        return f"transform({x}, (x, j) -> {body.replace('{i}', '(j + 1)')})"
+
+    def place(self, x: str, item: str) -> str:
+        """Where the item first stands in an array (from 1; 0: nowhere)."""
+        return f"CAST(array_position({x}, {item}) AS BIGINT)"
+
+    def hex(self, x: str) -> str:
+        return f"CAST(conv({x}, 16, 10) AS BIGINT)"
+
+    def group(self, x: str, pattern: str, n: int) -> str:
+        return f"regexp_extract({x}, r'{pattern}', {n})"
+
 
 class Oracle(Spark):
     """The SQL of the database that checks results."""
@@ -124,3 +138,15 @@ class Oracle(Spark):
 
     def json(self, x: str, key: str) -> str:
         return f"json_extract_string({x}, '$.{key}')"
+
+    def each(self, x: str, body: str) -> str:
+        return f"list_transform({x}, lambda x, i: {body.replace('{i}', 'i')})"
+
+    def place(self, x: str, item: str) -> str:
+        return f"CAST(coalesce(list_position({x}, {item}), 0) AS BIGINT)"
+
+    def hex(self, x: str) -> str:
+        return f"CAST(concat('0x', {x}) AS BIGINT)"
+
+    def group(self, x: str, pattern: str, n: int) -> str:
+        return f"regexp_extract({x}, '{pattern}', {n})"

@@ -164,9 +164,11 @@ def t5_chunk_valid(q):
     return f"SELECT doc_id, chunk_index FROM (SELECT doc_id, pos AS chunk_index, {body} AS chunk FROM {starts} s WHERE {q.size('w')} > 0) c WHERE {valid(q, 'chunk')}"
 
 
+PROMPTS = ["What is the main idea?", "Explain the key points.", "Summarise this passage.", "What can be learned here?", "Describe the context.", "What are the implications?", "How would you apply this?", "Discuss the argument."]
+
+
 def t9_prompts(q):
-    names = ["What is the main idea?", "Explain the key points.", "Summarise this passage.", "What can be learned here?", "Describe the context.", "What are the implications?", "How would you apply this?", "Discuss the argument."]
-    table = " UNION ALL ".join(f"SELECT {i} AS k, '{n}' AS prompt" for i, n in enumerate(names))
+    table = " UNION ALL ".join(f"SELECT {i} AS k, '{n}' AS prompt" for i, n in enumerate(PROMPTS))
     return f"SELECT doc_id, prompt FROM (SELECT doc_id, prompt, row_number() OVER (PARTITION BY doc_id ORDER BY md5(concat('42:', CAST(doc_id AS VARCHAR(20)), ':', CAST(k AS VARCHAR(4)))), k) AS r FROM documents CROSS JOIN ({table}) p) x WHERE r <= 4"
 
 
@@ -259,14 +261,19 @@ def curated(q):
     return f"SELECT conv_id, turn, role, text FROM ({first}) f WHERE r = 1"
 
 
-def a1_pairs(q):
-    u, a = q.length("prev_text"), q.length("text")
-    aw, parts_ = q.size(q.words("text")), q.size(q.sentences("text"))
+def pair_score(q, user, answer):
+    """Readability, density and score of a question and its answer."""
+    u, a = q.length(user), q.length(answer)
+    aw, parts_ = q.size(q.words(answer)), q.size(q.sentences(answer))
     read = f"least(1D, 20D / greatest({aw} / CAST(greatest({parts_}, 1) AS DOUBLE), 1D))"
-    dens = f"{q.size(q.distinct(q.words('lower(text)')))} / CAST(greatest({aw}, 1) AS DOUBLE)"
+    dens = f"{q.size(q.distinct(q.words(f'lower({answer})')))} / CAST(greatest({aw}, 1) AS DOUBLE)"
     ratio = f"{a} / CAST(greatest({u}, 1) AS DOUBLE)"
-    score = f"(CASE WHEN {ratio} BETWEEN 0.1D AND 10D THEN 1D ELSE 0.5D END) * 0.7D * (0.7D + 0.3D * ({read})) * (0.8D + 0.2D * ({dens}))"
-    return doubles(q, f"""SELECT * FROM (SELECT conv_id, turn, {u} AS user_len, {a} AS assistant_len, round({read}, 5) AS readability, round({dens}, 5) AS density, round({score}, 5) AS score
+    return read, dens, f"(CASE WHEN {ratio} BETWEEN 0.1D AND 10D THEN 1D ELSE 0.5D END) * 0.7D * (0.7D + 0.3D * ({read})) * (0.8D + 0.2D * ({dens}))"
+
+
+def a1_pairs(q):
+    read, dens, score = pair_score(q, "prev_text", "text")
+    return doubles(q, f"""SELECT * FROM (SELECT conv_id, turn, {q.length('prev_text')} AS user_len, {q.length('text')} AS assistant_len, round({read}, 5) AS readability, round({dens}, 5) AS density, round({score}, 5) AS score
       FROM ({PAIR_BASE.format(src=curated(q))}) p WHERE role = 'assistant' AND prev_role = 'user') s WHERE score >= 0.46""")
 
 

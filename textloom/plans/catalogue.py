@@ -7,14 +7,14 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.functions.dialect import Oracle, Spark
-from textloom.operators import folds, passages, programs, tables, text
+from textloom.operators import curation, folds, passages, programs, tables, text
 from textloom.plans import ranking
 from textloom.sources.parquet import TABLES, register
 from textloom.streaming import streams
 
-OPERATORS = text.QUERIES | tables.QUERIES
+OPERATORS = text.QUERIES | tables.QUERIES | curation.QUERIES
 #: Beyond SQL, or with SQL of their own.
-PROGRAMS = folds.PROGRAMS | programs.PROGRAMS | passages.PROGRAMS | streams.PROGRAMS | ranking.PROGRAMS
+PROGRAMS = folds.PROGRAMS | programs.PROGRAMS | passages.PROGRAMS | curation.PROGRAMS | streams.PROGRAMS | ranking.PROGRAMS
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.programs import _cells, fit_cells
 from textloom.sources.scratch import scratch
 
 
@@ -74,7 +75,40 @@ def x11_counters(spark, sf_dir):
     return drain(count_by(read_stream(spark, sf_dir, "events"), "event_type"), "x11", "complete")
 
 
-PROGRAMS = {"X1_ingest": x1_ingest, "X3_stream_dedup": x3_dedup, "X4_sessions": x4_sessions, "X11_theme_counters": x11_counters}
+# The events of a query, in order.
+PHASES = ["init", "phase", "proposal", "winner", "result", "complete"]
+
+
+def query_events(stream: DataFrame) -> DataFrame:
+    """(conv_id, turn, seq, event): the event rows of each user turn, in append mode."""
+    seen = stream.where("role = 'user'").select("conv_id", "turn", F.posexplode(F.array(*[F.lit(p) for p in PHASES])).alias("seq", "event"))
+    return seen.withColumn("seq", F.col("seq").cast("long"))
+
+
+def index_vectors(spark: SparkSession, sf_dir: str, cells: int = 16, files: int = 16) -> DataFrame:
+    """(vec_id, cell): an inverted file kept up to date batch by batch, each vector in its nearest cell.
+
+    Centres are fitted once, on at most 8,192 vectors. A batch holds at most ``files`` files and
+    overwrites its own folder, so a repeated batch adds nothing twice. Zero and null vectors are not indexed.
+    """
+    good = F.exists("embedding", lambda x: x != 0)
+    stored = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding").where(good)
+    centres = fit_cells(stored, cells)
+    at = scratch(spark, "index")
+
+    def step(batch: DataFrame, number: int) -> None:
+        rows = _cells(batch.select(F.col("vec_id").alias("id"), "embedding").where(good), centres, 1)
+        rows.select(F.col("id").alias("vec_id"), "cell").write.mode("overwrite").parquet(f"{at}/rows/batch={number}")
+
+    for_each(read_stream(spark, sf_dir, "embeddings", files), step, f"{at}/state").awaitTermination()
+    return spark.read.schema("vec_id long, cell long, batch long").parquet(f"{at}/rows").drop("batch")
+
+
+def x7_events(spark, sf_dir):
+    return drain(query_events(read_stream(spark, sf_dir, "conversations").select("conv_id", "turn", "role")), "x7")
+
+
+PROGRAMS = {"X7_query_events": x7_events, "V6_index_upkeep": index_vectors, "X1_ingest": x1_ingest, "X3_stream_dedup": x3_dedup, "X4_sessions": x4_sessions, "X11_theme_counters": x11_counters}
 
 ORACLE_SQL = {
     "X1_ingest": "SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations",
@@ -84,5 +118,6 @@ ORACLE_SQL = {
         SELECT user_id, event_id, us, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) < 900000000 THEN 0 ELSE 1 END AS fresh
         FROM (SELECT user_id, event_id, epoch_us(ts) AS us FROM events) a) b) c
       GROUP BY user_id, s HAVING max(us) + 900000000 <= (SELECT max(epoch_us(ts)) FROM events) - 1000000""",
+    "X7_query_events": f"SELECT conv_id, turn, CAST(k AS BIGINT) AS seq, event FROM conversations CROSS JOIN (VALUES {', '.join(f'({i}, {chr(39)}{p}{chr(39)})' for i, p in enumerate(PHASES))}) v(k, event) WHERE role = 'user'",
     "X11_theme_counters": "SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type",
 }
