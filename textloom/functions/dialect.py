@@ -81,6 +81,20 @@ class Spark:
     def group(self, x: str, pattern: str, n: int) -> str:
         return f"regexp_extract({x}, r'{pattern}', {n})"
 
+    def union(self, a: str, b: str) -> str:
+        return f"array_sort(array_union({a}, {b}))"
+
+    def intersect(self, a: str, b: str) -> str:
+        return f"array_intersect({a}, {b})"
+
+    def gather(self, x: str, by: str, sep: str) -> str:
+        """Strings of a group, joined in order."""
+        return f"array_join(transform(array_sort(collect_list(struct({by} AS k, {x} AS v))), s -> s.v), {sep})"
+
+    def fixed(self, x: str) -> str:
+        """Two decimals."""
+        return f"format_string('%.2f', {x})"
+
 
 class Oracle(Spark):
     """The SQL of the database that checks results."""
@@ -150,3 +164,15 @@ class Oracle(Spark):
 
     def group(self, x: str, pattern: str, n: int) -> str:
         return f"regexp_extract({x}, '{pattern}', {n})"
+
+    def union(self, a: str, b: str) -> str:
+        return f"list_sort(list_distinct(list_concat({a}, {b})))"
+
+    def intersect(self, a: str, b: str) -> str:
+        return f"list_intersect({a}, {b})"
+
+    def gather(self, x: str, by: str, sep: str) -> str:
+        return f"string_agg({x}, {sep} ORDER BY {by})"
+
+    def fixed(self, x: str) -> str:
+        return f"printf('%.2f', {x})"
