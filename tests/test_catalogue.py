@@ -22,7 +22,7 @@ def duck():
 def plain(v):
     if v is None or isinstance(v, float) and math.isnan(v):
         return None
-    return round(float(v), 4) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
+    return float(v) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))

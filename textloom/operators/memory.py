@@ -53,7 +53,7 @@ def p7_prompt(q):
 
 def j7_weights(q):
     """Mean weight of a document's themes: 1 / (share + 0.01), and 1 for themes that occur once."""
-    known = f"SELECT theme, 1D / (n / CAST(sum(n) OVER () AS DOUBLE) + 0.01D) AS weight, n FROM (SELECT theme, count(*) AS n FROM {themes(q)} t GROUP BY theme) c"
+    known = f"SELECT theme, 1D / (n / CAST(total AS DOUBLE) + 0.01D) AS weight, n FROM (SELECT theme, count(*) AS n FROM {themes(q)} t GROUP BY theme) c CROSS JOIN (SELECT count(*) AS total FROM {themes(q)} a) s"
     return doubles(q, f"SELECT t.conv AS doc_id, round(avg(coalesce(k.weight, 1D)), 5) AS weight FROM {themes(q)} t LEFT JOIN (SELECT theme, weight FROM ({known}) w WHERE n > 1) k ON t.theme = k.theme GROUP BY t.conv")
 
 

@@ -85,7 +85,7 @@ def g18_calibration(q):
 
 
 def g19_experts(q):
-    return "SELECT event_type, CAST(count(*) AS BIGINT) AS calls, CAST(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS BIGINT) AS success, round(avg(CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END), 6) AS success_rate, round(avg(value), 4) AS mean_time FROM events GROUP BY event_type"
+    return doubles(q, "SELECT event_type, CAST(count(*) AS BIGINT) AS calls, CAST(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS BIGINT) AS success, round(avg(CASE WHEN value > 50 THEN 1D ELSE 0D END), 6) AS success_rate, round(avg(value), 4) AS mean_time FROM events GROUP BY event_type")
 
 
 def g20_dispersion(q):
@@ -156,7 +156,7 @@ def v4_retrieve(q):
 
 
 def g16_evaluate(q):
-    return f"SELECT round(avg(hit), 6) AS precision_at_5, round(avg(rr), 6) AS mrr FROM (SELECT r.query, avg(CASE WHEN a.label = b.label THEN 1.0 ELSE 0.0 END) AS hit, max(CASE WHEN a.label = b.label THEN 1.0 / r.rank ELSE 0.0 END) AS rr FROM ({v4_retrieve(q)}) r JOIN embeddings a ON r.query = a.vec_id JOIN embeddings b ON r.vec_id = b.vec_id GROUP BY r.query) s"
+    return doubles(q, f"SELECT round(avg(hit), 6) AS precision_at_5, round(avg(rr), 6) AS mrr FROM (SELECT r.query, avg(CASE WHEN a.label = b.label THEN 1D ELSE 0D END) AS hit, max(CASE WHEN a.label = b.label THEN 1D / r.rank ELSE 0D END) AS rr FROM ({v4_retrieve(q)}) r JOIN embeddings a ON r.query = a.vec_id JOIN embeddings b ON r.vec_id = b.vec_id GROUP BY r.query) s")
 
 
 def v2_norm(q):

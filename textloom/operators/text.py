@@ -213,16 +213,21 @@ def doubles(q, sql):
     return sql if type(q).__name__ == "Spark" else re.sub(r"(?<![\w.])(\d+(?:\.\d+)?)D\b", r"CAST(\1 AS DOUBLE)", sql)
 
 
+def half_up(x, n):
+    """Rounds so that a value within 1e-9 below a half goes up: sums may end on either side of it."""
+    return f"round({x} + 0.000000001D, {n})"
+
+
 def q_scores(q):
     p = parts(q)
-    cols = ", ".join(f"round({v}, 6) AS {k}" for k, v in p.items())
+    cols = ", ".join(f"{half_up(v, 6)} AS {k}" for k, v in p.items())
     return doubles(q, f"SELECT doc_id, {cols} FROM documents")
 
 
 def q_all(q):
     p = parts(q)
     total = f"(0.10D * ({p['len_q']}) + 0.20D * ({p['coh_q']}) + 0.20D * ({p['inf_q']}) + 0.15D * ({p['str_q']}) + 0.15D * ({p['lin_q']})) / 0.80D"
-    return doubles(q, f"SELECT doc_id, round({total}, 5) AS quality FROM documents")
+    return doubles(q, f"SELECT doc_id, {half_up(total, 5)} AS quality FROM documents")
 
 
 def f5_gate(q):
@@ -273,7 +278,7 @@ def pair_score(q, user, answer):
 
 def a1_pairs(q):
     read, dens, score = pair_score(q, "prev_text", "text")
-    return doubles(q, f"""SELECT * FROM (SELECT conv_id, turn, {q.length('prev_text')} AS user_len, {q.length('text')} AS assistant_len, round({read}, 5) AS readability, round({dens}, 5) AS density, round({score}, 5) AS score
+    return doubles(q, f"""SELECT * FROM (SELECT conv_id, turn, {q.length('prev_text')} AS user_len, {q.length('text')} AS assistant_len, {half_up(read, 5)} AS readability, {half_up(dens, 5)} AS density, {half_up(score, 5)} AS score
       FROM ({PAIR_BASE.format(src=curated(q))}) p WHERE role = 'assistant' AND prev_role = 'user') s WHERE score >= 0.46""")
 
 
