@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.operators.tables import cosine, g2_cooccurrence, g3_coherence, g7_information, g17_reputation, themes, v4_retrieve
-from textloom.operators.text import b4_content, b7_label, c7_summary, doubles, q_all
+from textloom.operators.text import b4_content, b7_label, c7_summary, doubles, half_up, q_all
 from textloom.sources.scratch import scratch
 
 
@@ -93,6 +93,18 @@ def l3_winner(q):
     return f"SELECT user_id, event_id, CAST(r AS BIGINT) AS rank, r = 1 AND trust > 0.01 AS wins FROM ({ranked}) s WHERE r <= 5"
 
 
+def g18_calibration(q):
+    """Each proposal's trust, calibrated: mean rewards of six buckets, made to rise, with straight lines between; a bucket without rewards keeps its own place."""
+    raw = f"SELECT t.event_id, least(greatest(t.trust, 0D), 1D) AS raw, CASE WHEN e.value > 50 THEN 1D ELSE 0D END AS reward FROM ({q_trust(q)}) t JOIN events e ON t.event_id = e.event_id"
+    means = f"SELECT least(5, floor(raw * 6)) AS bucket, avg(reward) AS mean FROM ({raw}) r GROUP BY least(5, floor(raw * 6))"
+    buckets = " UNION ALL ".join(f"SELECT {i} AS i" for i in range(6))
+    # Six rows.
+    levels = f"SELECT b.i, max(coalesce(o.mean, 0.2D * b.i)) OVER (ORDER BY b.i) AS level FROM ({buckets}) b LEFT JOIN ({means}) o ON b.i = o.bucket"
+    rows = f"SELECT event_id, raw * 5D AS x, CAST(least(5, floor(raw * 5D)) AS INT) AS i FROM ({raw}) s"
+    line = "a.level + (r.x - r.i) * (b.level - a.level)"
+    return doubles(q, f"SELECT r.event_id, {half_up(line, 5)} AS calibrated FROM ({rows}) r JOIN ({levels}) a ON r.i = a.i JOIN ({levels}) b ON least(5, r.i + 1) = b.i")
+
+
 def q_reinforced(q):
     """A theme's weight in a document: its frequency, and what occurs with it there, times its coherence."""
     t = themes(q)
@@ -171,7 +183,7 @@ def k11_reputation(spark, sf_dir):
 
 QUERIES = {
     "F4_quarantine": f4_quarantine, "F9_preview": f9_preview, "F15_plan_router": f15_router, "F18_min_context": f18_context, "P2_metadata": p2_metadata, "P6_timestamp": p6_timestamp, "P7_prompt": p7_prompt, "J7_theme_weights": j7_weights,
-    "J8_tag_overlap": j8_tags, "J12_theme_pairs": j12_pairs, "L2_distance": l2_distance, "L3_winner": l3_winner, "Q_trust": q_trust, "Q_reinforced": q_reinforced, "B6_candidates": b6_candidates, "B8_adaptive_label": b8_adaptive, "A3_records": a3_records, "A9_tokens": a9_tokens,
+    "J8_tag_overlap": j8_tags, "J12_theme_pairs": j12_pairs, "L2_distance": l2_distance, "L3_winner": l3_winner, "Q_trust": q_trust, "G18_calibration": g18_calibration, "Q_reinforced": q_reinforced, "B6_candidates": b6_candidates, "B8_adaptive_label": b8_adaptive, "A3_records": a3_records, "A9_tokens": a9_tokens,
     "V3_insert": v3_insert, "V11_rehearse": v11_rehearse, "V14_context_tags": v14_tags, "S13_profile": s13_profile,
 }
 PROGRAMS = {"K9_vector_memory": k9_vectors, "K11_reputation_store": k11_reputation}

@@ -80,10 +80,6 @@ def g17_reputation(q):
       FROM (SELECT user_id, CAST(count(*) AS BIGINT) AS n, avg(value / 1000D) AS mean, avg(value / 1000D * value / 1000D) AS sq FROM events GROUP BY user_id) s""")
 
 
-def g18_calibration(q):
-    return doubles(q, """SELECT bucket, round(max(mean) OVER (ORDER BY bucket), 5) AS level FROM (SELECT CAST(least(5, floor(6 * (event_id % 100) / 100.0)) AS BIGINT) AS bucket, avg(value) AS mean FROM events GROUP BY CAST(least(5, floor(6 * (event_id % 100) / 100.0)) AS BIGINT)) s""")
-
-
 def g19_experts(q):
     return doubles(q, "SELECT event_type, CAST(count(*) AS BIGINT) AS calls, CAST(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS BIGINT) AS success, round(avg(CASE WHEN value > 50 THEN 1D ELSE 0D END), 6) AS success_rate, round(avg(value), 4) AS mean_time FROM events GROUP BY event_type")
 
@@ -230,7 +226,7 @@ def s_join(q):
 QUERIES = {
     "G1_counts": g1_counts, "G2_cooccurrence": g2_cooccurrence, "G3_coherence": g3_coherence, "G6_hierarchy": g6_hierarchy, "G7_mutual_information": g7_information, "G9_quality_stats": g9_stats, "G10_theme_distribution": g10_themes,
     "G11_source_distribution": g11_sources, "G12_totals": g12_totals, "G13_top_themes": g13_top, "G14_entropy": g14_entropy, "G15_inverse_weights": g15_weights, "G16_evaluation": g16_evaluate, "G17_reputation": g17_reputation,
-    "G18_calibration": g18_calibration, "G19_expert_stats": g19_experts, "G20_dispersion": g20_dispersion, "G21_recent_average": g21_recent, "G22_step_gap": g22_rate, "G23_cache_stats": g23_cache, "G24_length_stats": g24_lengths,
+    "G19_expert_stats": g19_experts, "G20_dispersion": g20_dispersion, "G21_recent_average": g21_recent, "G22_step_gap": g22_rate, "G23_cache_stats": g23_cache, "G24_length_stats": g24_lengths,
     "G25_tfidf": g25_tfidf, "L4_keywords": l4_keywords, "L6_sample_per_source": l6_per_source, "L7_cap_per_source": l7_cap, "L9_history": l9_history, "W10_session": w10_session, "W12_coverage": w12_coverage, "W13_alignment": w13_align,
     "V2_norm": v2_norm, "V4_retrieve": v4_retrieve, "V8_feedback": v8_feedback, "V9_age": v9_age, "V13_turns": v13_turns, "F7_zero_vector": f7_zero, "F8_dimension": f8_dimension, "J1_zip": j1_zip, "J6_lookup": j6_lookup,
     "J10_anti": j10_new, "J11_semi": j11_known, "U1_union": u1_union, "U3_intersect": u3_intersect, "U4_except": u4_except, "A8_sample_weight": a8_sample_weight, "E7_retired": e7_retired, "X_json": x_json, "STAR_pricing": s_tpch1, "STAR_joins": s_join,
