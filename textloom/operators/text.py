@@ -194,16 +194,21 @@ def d9_distinct(q):
     return f"SELECT doc_id, {q.size(q.distinct(q.words('text')))} AS n FROM documents"
 
 
-def parts(q):
-    n, w = q.length("text"), q.size(q.words("text"))
+def measured(q):
+    """(doc_id, text, n characters, w words, all sentence parts, full ones of three words, uniq lower-cased words, kinds of characters), each counted once a text."""
     sents = q.sentences("text")
     full = q.size(q.keep(sents, "x", f"{q.size(q.words('x'))} >= 3"))
+    return f"(SELECT doc_id, text, {q.length('text')} AS n, {q.size(q.words('text'))} AS w, {q.size(sents)} AS parts, {full} AS whole, {q.size(q.distinct(q.words('lower(text)')))} AS uniq, {q.size(q.distinct(q.chars('lower(text)')))} AS kinds FROM documents)"
+
+
+def parts(q):
+    """Scores over ``measured``."""
     return {
-        "len_q": f"CASE WHEN {n} BETWEEN 100 AND 2000 AND {w} BETWEEN 20 AND 400 THEN 1.0D WHEN {n} BETWEEN 50 AND 3000 AND {w} BETWEEN 10 AND 500 THEN 0.7D WHEN {n} >= 10 AND {w} >= 3 THEN 0.4D ELSE 0.1D END",
-        "coh_q": f"least(0.3D * {full} / CAST({q.size(sents)} AS DOUBLE) + CASE WHEN {q.matches('text', '[A-Z]')} THEN 0.2D ELSE 0D END + 0.3D, 1D)",
-        "inf_q": f"CASE WHEN {w} = 0 THEN 0D ELSE least(0.3D * {q.size(q.distinct(q.words('lower(text)')))} / CAST({w} AS DOUBLE) + CASE WHEN {q.matches('text', '[0-9]')} THEN 0.2D ELSE 0D END + 0.3D, 1D) END",
-        "str_q": f"CASE WHEN {full} >= 2 THEN 0.4D ELSE 0D END + CASE WHEN {q.matches('text', '[.!?][ ' + chr(92) + 'n' + chr(92) + 't]*$')} THEN 0.3D ELSE 0D END + 0.3D",
-        "lin_q": f"CASE WHEN {q.matches('text', '[ ' + chr(92) + 'n' + chr(92) + 't]{3,}')} THEN 0D ELSE 0.25D END + CASE WHEN (upper(text) = text AND lower(text) <> text) OR (lower(text) = text AND upper(text) <> text) THEN 0D ELSE 0.25D END + CASE WHEN {q.size(q.distinct(q.chars('lower(text)')))} >= 20 THEN 0.25D ELSE 0D END + 0.25D",
+        "len_q": "CASE WHEN n BETWEEN 100 AND 2000 AND w BETWEEN 20 AND 400 THEN 1.0D WHEN n BETWEEN 50 AND 3000 AND w BETWEEN 10 AND 500 THEN 0.7D WHEN n >= 10 AND w >= 3 THEN 0.4D ELSE 0.1D END",
+        "coh_q": f"least(0.3D * whole / CAST(parts AS DOUBLE) + CASE WHEN {q.matches('text', '[A-Z]')} THEN 0.2D ELSE 0D END + 0.3D, 1D)",
+        "inf_q": f"CASE WHEN w = 0 THEN 0D ELSE least(0.3D * uniq / CAST(w AS DOUBLE) + CASE WHEN {q.matches('text', '[0-9]')} THEN 0.2D ELSE 0D END + 0.3D, 1D) END",
+        "str_q": f"CASE WHEN whole >= 2 THEN 0.4D ELSE 0D END + CASE WHEN {q.matches('text', '[.!?][ ' + chr(92) + 'n' + chr(92) + 't]*$')} THEN 0.3D ELSE 0D END + 0.3D",
+        "lin_q": f"CASE WHEN {q.matches('text', '[ ' + chr(92) + 'n' + chr(92) + 't]{3,}')} THEN 0D ELSE 0.25D END + CASE WHEN (upper(text) = text AND lower(text) <> text) OR (lower(text) = text AND upper(text) <> text) THEN 0D ELSE 0.25D END + CASE WHEN kinds >= 20 THEN 0.25D ELSE 0D END + 0.25D",
     }
 
 
@@ -221,13 +226,13 @@ def half_up(x, n):
 def q_scores(q):
     p = parts(q)
     cols = ", ".join(f"{half_up(v, 6)} AS {k}" for k, v in p.items())
-    return doubles(q, f"SELECT doc_id, {cols} FROM documents")
+    return doubles(q, f"SELECT doc_id, {cols} FROM {measured(q)} m")
 
 
 def q_all(q):
     p = parts(q)
     total = f"(0.10D * ({p['len_q']}) + 0.20D * ({p['coh_q']}) + 0.20D * ({p['inf_q']}) + 0.15D * ({p['str_q']}) + 0.15D * ({p['lin_q']})) / 0.80D"
-    return doubles(q, f"SELECT doc_id, {half_up(total, 5)} AS quality FROM documents")
+    return doubles(q, f"SELECT doc_id, {half_up(total, 5)} AS quality FROM {measured(q)} m")
 
 
 def f5_gate(q):
