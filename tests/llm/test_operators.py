@@ -161,6 +161,37 @@ def test_near_copies(spark, docs):
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def slow_shingles(t):
+    w = fold(t)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def slow_near(texts):
+    """Groups of texts by comparing all pairs of shingle sets."""
+    sets = [slow_shingles(t) for t in texts]
+    return roots(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+
+
+def kept_near(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect())
+
+
+def test_near_copies_by_blocks(spark):
+    """Copies that append, replace or cut a block of words, or repeat a line, are found like all others."""
+    draw = random.Random(11)
+    word = lambda: f"{draw.choice(VOCAB)}{draw.randrange(3000)}"
+    texts = []
+    for _ in range(40):
+        w = [word() for _ in range(300)]
+        more = [word() for _ in range(60)]
+        copies = [w + more, w[:270] + more[:25], w[:250], w + w[40:60] * draw.choice((5, 20)), w[: draw.randrange(60, 300)]]
+        texts += [" ".join(x) for x in (w, *copies)]
+    want = slow_near(texts)
+    assert sum(i != r for i, r in enumerate(want)) >= 160
+    assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
+
+
 def test_components_empty(spark):
     assert components.components(spark.createDataFrame([], "a binary, b binary")).count() == 0
 

@@ -1,6 +1,6 @@
 """SimHash near-duplicates: pigeonhole blocks, join on blocks, verified Hamming distance, connected components.
 
-Equal fingerprints (or equal word sequences) are one class before anything is
+Equal fingerprints are one class before anything is
 joined, so copies cost nothing. A class emits one key for each choice of
 blocks; classes that share a key are compared inside it, and each key yields
 the edges of a spanning forest of its close pairs, nearest first, never all
@@ -8,10 +8,9 @@ pairs. Keys with more classes than CELL are dealt out as pairs of hash slices,
 so that no task holds more than two slices.
 
 With ``blocks`` blocks of which ``shared`` must agree, all pairs at up to
-``blocks - shared`` differing bits are found (pigeonhole principle). For larger
-distances, as word-level near copies need, the fingerprint is made longer and
-cut into bands of which one must agree; edges may then be verified by the
-Jaccard similarity of word shingles.
+``blocks - shared`` differing bits are found (pigeonhole principle). Near copies
+by the Jaccard similarity of word shingles are found without fingerprints
+(``jaccard.py``).
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from pyspark.sql import types as T
 
 from textloom.llm.common import arrow_stage, fold_words, load, texts, written
 from textloom.llm.components import components
+from textloom.llm.jaccard import similar_groups
 
 #: Classes of one key that one task compares at once.
 CELL = 4096
@@ -55,9 +55,6 @@ class Plan:
 
 #: Links at 3 of 64 bits: of 6 blocks, 3 are equal in every such pair; 20 keys of about 32 bits.
 EXACT = Plan()
-#: Near copies at Jaccard 0.8 of five-word shingles: two-word features, 256 bits, 16 bands of 16 bits. Such pairs
-#: differ in about 8 % of the bits (11 % at most seen), unrelated texts in over 40 %.
-NEAR = Plan(shingle=2, bits=256, blocks=16, shared=1, distance=40)
 
 
 def simhash(words: list[bytes], shingle: int, bits: int) -> bytes:
@@ -197,62 +194,27 @@ def close_pairs(classes: DataFrame, plan: Plan) -> DataFrame:
 CLASS = T.StructType([T.StructField("class", T.BinaryType()), T.StructField("fp", T.BinaryType())])
 
 
-def fingerprints(df: DataFrame, plan: Plan, text: str, keep: list[str], by_words: bool = False) -> DataFrame:
-    """Adds ``fp`` and ``class``: the fingerprint itself, or with ``by_words`` a digest of the folded words."""
+def fingerprints(df: DataFrame, plan: Plan, text: str, keep: list[str]) -> DataFrame:
+    """Adds ``fp`` and ``class``: the fingerprint itself."""
 
     def fn(cols):
-        found = texts(cols["text"])
-        if by_words:
-            words = [fold_words(t) for t in found]
-            classes = [hashlib.md5(b" ".join(w)).digest() for w in words]
-        else:
-            words = [t.lower().split() for t in found]
-        fps = [simhash(w, plan.shingle, plan.bits) for w in words]
-        return [pa.array(classes if by_words else fps, pa.binary()), pa.array(fps, pa.binary())]
+        fps = [simhash(t.lower().split(), plan.shingle, plan.bits) for t in texts(cols["text"])]
+        return [pa.array(fps, pa.binary()), pa.array(fps, pa.binary())]
 
     return arrow_stage(df, {"text": text}, CLASS, fn, keep)
 
 
-def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
-    """Distinct hashes of the word shingles, sorted; fewer words: of the whole sequence; none: empty."""
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + size])) for i in range(max(1, len(words) - size + 1))]
-    return np.unique(np.array(h, dtype=np.uint64).view(np.int64))
-
-
-def verified(edges: DataFrame, nodes: DataFrame, df: DataFrame, id_col: str, text: str, size: int, similarity: float) -> DataFrame:
-    """The edges whose texts' word shingles have at least this Jaccard similarity. Only texts that an edge names are moved."""
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
-    wanted = df.select(F.col(id_col).alias("rep"), F.col(text).alias("text")).join(ends, "rep")
-
-    def fn(cols):
-        made = [(hashlib.md5(b" ".join(w := fold_words(t))).digest(), shingle_hashes(w, size)) for t in texts(cols["text"])]
-        same = [c == n for (c, _), n in zip(made, cols["node"].to_pylist(), strict=True)]
-        return [pa.array([s for _, s in made], pa.list_(pa.int64())), pa.array(same, pa.bool_())]
-
-    out = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType())), T.StructField("same", T.BooleanType())])
-    sets = arrow_stage(wanted, {"text": "text", "node": "node"}, out, fn, ["node"]).where("same").dropDuplicates(["node"]).select("node", "shingles")
-    sets = written(sets, "simhash-sets")
-    pairs = edges.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.where(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b", "d")
-
-
-def near_duplicates(df: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text: str = "text", jaccard: tuple[int, float] | None = None) -> DataFrame:
+def near_duplicates(df: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of df: id, class, fp, component (smallest id of the group).
 
-    jaccard: (words in a shingle, least similarity); None links by the
-    fingerprints alone. Null texts count as empty, and texts without words link
-    like any others. Null ids are grouped like others but are never the smallest
-    id unless a group has no other. Rows that repeat an id are told apart by
-    their class. An empty table gives no rows. Extra columns are ignored.
+    Null texts count as empty, and texts without words link like any others.
+    Null ids are grouped like others but are never the smallest id unless a
+    group has no other. Rows that repeat an id are told apart by their class. An
+    empty table gives no rows. Extra columns are ignored.
     """
-    docs = written(fingerprints(df, plan, text, [id_col], jaccard is not None), "simhash-docs")
+    docs = written(fingerprints(df, plan, text, [id_col]), "simhash-docs")
     nodes = written(docs.groupBy(F.col("class").alias("node")).agg(F.min(id_col).alias("rep"), F.min("fp").alias("fp")), "simhash-nodes")
     edges = close_pairs(nodes, plan)
-    if jaccard is not None:
-        edges = verified(written(edges, "simhash-edges"), nodes, df, id_col, text, *jaccard)
     roots = written(components(edges), "simhash-roots")
     placed = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
@@ -272,11 +234,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     Rows that repeat both id and text count as one document and stay or go
     together. Null ids stay only in groups without any other id.
     """
-    found = near_duplicates(docs, NEAR, id_col, text, (5, 0.8))
-    groups = found.groupBy("class").agg(F.min("component").alias("component"), F.min(id_col).alias("rep"))
-    stay = groups.where(F.col("rep").eqNullSafe(F.col("component"))).select(F.col("rep").alias("__rep"), F.col("class").alias("__class"))
-    # A class keeps its smallest id; other classes of the group have a larger one.
-    joined = docs.join(stay, docs[id_col].eqNullSafe(F.col("__rep")))
-    out = T.StructType([T.StructField("__digest", T.BinaryType())])
+    out = T.StructType([T.StructField("__class", T.BinaryType())])
     fn = lambda cols: [pa.array([hashlib.md5(b" ".join(fold_words(t))).digest() for t in texts(cols["text"])], pa.binary())]
-    return arrow_stage(joined, {"text": text}, out, fn).where("__digest = __class").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = written(arrow_stage(docs, {"text": text}, out, fn).withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    # The first row by id stands for its class, the first class for its group.
+    first = F.min(F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("__row").alias("node"))).alias("first")
+    classes = written(rows.groupBy("__class").agg(first).select("__class", "first"), "near-classes")
+    distinct = written(rows.join(classes.select(F.col("first.node").alias("__row")), "__row").select(F.col("__row").alias("node"), F.col(text).alias("text")), "near-texts")
+    placed = classes.withColumn("node", F.col("first.node")).join(similar_groups(distinct), "node", "left")
+    kept = placed.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("first", "__class")).alias("kept"))
+    kept = kept.select("kept.__class", F.col("kept.first.id").alias("__id"))
+    joined = rows.join(kept, "__class").where(F.col(id_col).eqNullSafe(F.col("__id")))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
