@@ -192,6 +192,21 @@ def test_near_copies_by_blocks(spark):
     assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
 
 
+def test_near_copies_connect(spark):
+    """Groups of edited variants fall into the components that comparing all pairs gives."""
+    draw = random.Random(12)
+    texts = []
+    for edits in ((3, 7), (2, 8)):
+        base = [f"{draw.choice(VOCAB)}{draw.randrange(3000)}" for _ in range(300)]
+        for _ in range(100):
+            w = list(base)
+            for i in draw.sample(range(300), draw.randrange(*edits)):
+                w[i] = f"{draw.choice(VOCAB)}{draw.randrange(3000)}"
+            texts.append(" ".join(w))
+    want = slow_near(texts)
+    assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
+
+
 def test_components_empty(spark):
     assert components.components(spark.createDataFrame([], "a binary, b binary")).count() == 0
 
