@@ -301,6 +301,19 @@ def test_quality_learns(spark):
     assert quality.rank(np.zeros((0, 3)), np.zeros(0)).score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
 
 
+def test_mixing_meets_targets(spark):
+    """Sources and languages far from their targets are weighted to them in full."""
+    rows = [(i, prose(30), "en" if i % 7 else "de", "src0" if i % 20 == 0 else f"src{i % 3 + 1}", i // 20 % 8) for i in range(2000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, t long"), topic_col="t").collect()
+    for dim in ("source", "lang", "topic"):
+        share = defaultdict(float)
+        for r in got:
+            share[r[f"__{dim}"]] += r["__tokens"] * r["__weight"]
+        goal = {k: mixing.TARGETS[dim][k] for k in share}
+        for k, v in share.items():
+            assert abs(v / sum(share.values()) - goal[k] / sum(goal.values())) < 1e-4
+
+
 def test_mixing(spark, docs):
     cells = np.array([[[4.0, 1.0], [2.0, 3.0]], [[5.0, 2.0], [1.0, 6.0]]])
     goals = [np.array([0.5, 0.5]), np.array([0.3, 0.7]), np.array([0.4, 0.6])]

@@ -12,6 +12,9 @@ raking runs on the driver. A target class without documents passes its share on
 to the others in proportion; where the marginals cannot all be met, raking ends
 after ``rounds`` rounds at the nearest fit.
 
+``pull`` moves a dimension only part of the way from its present shares (0) to
+its targets (1, the default), geometrically.
+
 Topics are hashed vocabulary groups: the one of ``n_topics`` groups that most
 words of five or more bytes fall into (ties: the smallest; no such words: 0). A
 topic column can be named instead.
@@ -37,12 +40,10 @@ from textloom.llm.common import arrow_stage, fold_words, load, texts, written
 TOPICS = 8
 #: Target shares of tokens.
 TARGETS: dict[str, dict[str, float]] = {
-    "source": {"src0": 0.30, "*": 0.70},
+    "source": {"src0": 0.30, **{f"src{i}": 0.68 / 19 for i in range(1, 20)}, "*": 0.02},
     "lang": {"en": 0.57, "de": 0.15, "fr": 0.14, "es": 0.12, "*": 0.02},
     "topic": {str(i): 1 / TOPICS for i in range(TOPICS)},
 }
-#: How far each dimension moves from its present shares (0) to its targets (1), geometrically.
-PULL = {"source": 0.3, "lang": 0.5, "topic": 0.2}
 
 
 def topic_of(words: list[bytes], n_topics: int) -> int:
@@ -104,7 +105,7 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
     cells = np.zeros([len(n) for n in names])
     for r in found:
         cells[tuple(n.index(r[c]) for n, (_, c) in zip(names, dims, strict=True))] += r["n"] or 0
-    raked = rake(cells, [np.array([targets[d].get(k, 0.0) for k in n]) for (d, _), n in zip(dims, names, strict=True)], [(PULL if pull is None else pull).get(d, 1.0) for d, _ in dims])
+    raked = rake(cells, [np.array([targets[d].get(k, 0.0) for k in n]) for (d, _), n in zip(dims, names, strict=True)], [(pull or {}).get(d, 1.0) for d, _ in dims])
     weight = np.divide(raked, cells, out=np.ones_like(raked), where=cells > 0)
     scale = 1 / max(weight[cells > 0].max(initial=0.0), 1e-300) if cells.sum() > 0 else 1.0
     if budget is not None:
