@@ -118,6 +118,35 @@ def test_rake():
     assert np.allclose(m.sum(axis=1), [10, 30], rtol=0.01) and np.allclose(m.sum(axis=0), 20, rtol=0.01)
 
 
+def test_calibration_and_clusters_of_all_themes(spark):
+    sf = "/root/testdata/sf0.1"
+    themes, pairs = programs._themes(spark, sf)
+    counts = sorted(((r["theme"], r["n"]) for r in themes.collect()), key=lambda x: (-x[1], x[0]))
+    together = {(r["a"], r["b"]): r["n"] for r in pairs.collect()}
+    at = {t: i for i, (t, _) in enumerate(counts)}
+    assert len(at) > 500
+    table = np.zeros((len(at), len(at)))
+    for (a, b), n in together.items():
+        table[at[a], at[b]] = n
+    goal = np.array([n for _, n in counts], dtype=float)
+    m = programs.rake(table, goal, goal)
+    got = np.zeros_like(table)
+    for r in programs.calibrate_themes(spark, sf).collect():
+        assert r["a"] != r["b"] and r["n"] > 0
+        got[at[r["a"]], at[r["b"]]] = r["n"]
+    np.fill_diagonal(m, 0)
+    assert (np.abs(got - np.floor(m)) <= (np.abs(m - np.round(m)) < 1e-6)).all()
+    seen, want = set(), []
+    for t, _ in counts:
+        best = sorted((-n, b) for (a, b), n in together.items() if a == t and n >= 3)[:5]
+        if t not in seen and best:
+            members = [t] + [b for _, b in best]
+            seen.update(members)
+            want.append(members)
+    found = [(r["cluster"], r["theme"]) for r in programs.cluster_themes(spark, sf).collect()]
+    assert found == [(i, t) for i, x in enumerate(want) for t in x]
+
+
 def test_chat_shapes(spark, tmp_path):
     msg = {"role": "Human", "content": "hello"}
     shapes = {
