@@ -301,6 +301,12 @@ def test_quality_learns(spark):
     assert quality.rank(np.zeros((0, 3)), np.zeros(0)).score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
 
 
+def test_quality_of_mostly_bad_labels():
+    y = np.arange(400) % 4 == 0
+    x = np.where(y, 1.0, 0.0)[:, None] + np.linspace(0, 0.5, 400)[:, None]
+    assert ((quality.rank(x, y.astype(int)).score(x) >= quality.THRESHOLD) == y).all()
+
+
 def test_mixing_meets_targets(spark):
     """Sources and languages far from their targets are weighted to them in full."""
     rows = [(i, prose(30), "en" if i % 7 else "de", "src0" if i % 20 == 0 else f"src{i % 3 + 1}", i // 20 % 8) for i in range(2000)]

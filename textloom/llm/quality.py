@@ -134,7 +134,7 @@ def rank(x: np.ndarray, y: np.ndarray, bins: int = 12, pairs_each: int = 8, l2:
     model.weights = w
     raw = model.raw(x)
     # Threshold by quantile: of the quantiles of all scores, the one that tells most labels right.
-    cuts = np.quantile(raw, np.linspace(0.0, 0.6, 241))
+    cuts = np.quantile(raw, np.linspace(0.0, 1.0, 401))
     right = [((raw >= c) == (y == 1)).mean() for c in cuts]
     top = np.flatnonzero(np.array(right) >= max(right) - 1e-9)
     model.centre = float(cuts[top[len(top) // 2]])
