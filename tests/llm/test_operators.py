@@ -207,6 +207,17 @@ def test_near_copies_connect(spark):
     assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
 
 
+def test_near_copies_without_ids(spark):
+    """One row of each group stays, also where ids are null or rows are repeated."""
+    draw = random.Random(13)
+    w = [f"{draw.choice(VOCAB)}{draw.randrange(3000)}" for _ in range(100)]
+    a, b, c = " ".join(w), " ".join(w[:95]), prose(60)
+    rows = [(None, a, 1), (None, b, 2), (None, a, 3), (5, c, 4), (5, c, 5), (None, c, 6)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, x int")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id) == [(5, c)]
+    assert len(kept) == 2
+
+
 def test_components_empty(spark):
     assert components.components(spark.createDataFrame([], "a binary, b binary")).count() == 0
 

@@ -231,18 +231,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies (Jaccard of five-word shingles 0.8 or more) stays: the one with the smallest id.
 
-    Rows that repeat both id and text count as one document and stay or go
-    together. Null ids stay only in groups without any other id.
+    Null ids come after all others. Of rows that repeat both id and text, the
+    one with the smallest hash of its columns stays.
     """
     out = T.StructType([T.StructField("__class", T.BinaryType())])
     fn = lambda cols: [pa.array([hashlib.md5(b" ".join(fold_words(t))).digest() for t in texts(cols["text"])], pa.binary())]
-    rows = written(arrow_stage(docs, {"text": text}, out, fn).withColumn("__row", F.monotonically_increasing_id()), "near-rows")
-    # The first row by id stands for its class, the first class for its group.
-    first = F.min(F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("__row").alias("node"))).alias("first")
-    classes = written(rows.groupBy("__class").agg(first).select("__class", "first"), "near-classes")
-    distinct = written(rows.join(classes.select(F.col("first.node").alias("__row")), "__row").select(F.col("__row").alias("node"), F.col(text).alias("text")), "near-texts")
-    placed = classes.withColumn("node", F.col("first.node")).join(similar_groups(distinct), "node", "left")
+    rows = arrow_stage(docs, {"text": text}, out, fn)
+    first = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
+    distinct = rows.groupBy("__class").agg(F.min(first).alias("first"), F.first(text).alias("text"))
+    distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()), "near-texts")
+    placed = distinct.select("__class", "first", "node").join(similar_groups(distinct.select("node", "text")), "node", "left")
     kept = placed.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("first", "__class")).alias("kept"))
-    kept = kept.select("kept.__class", F.col("kept.first.id").alias("__id"))
-    joined = rows.join(kept, "__class").where(F.col(id_col).eqNullSafe(F.col("__id")))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Written, as the size of a small table spares the texts a shuffle.
+    kept = written(kept.select("kept.__class", F.col("kept.first").alias("__first")), "near-kept")
+    joined = rows.withColumn("__first", first).join(kept, ["__class", "__first"])
+    # Rows equal in every column are one.
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "__class").dropDuplicates(["__class"]).drop("__class")
