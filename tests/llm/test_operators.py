@@ -71,6 +71,38 @@ def test_licenses(spark, folder):
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
+def matches(parsed):
+    """Texts that a parsed pattern matches: every branch and option at least once, repeats at their least and most."""
+    made = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            part = [chr(arg)]
+        elif op == "NOT_LITERAL":
+            part = ["q"]
+        elif op == "IN":
+            part = [chr(a if str(k) == "LITERAL" else a[0]) for k, a in arg]
+        elif op == "BRANCH":
+            part = [x for branch in arg[1] for x in matches(branch)]
+        elif op == "SUBPATTERN":
+            part = matches(arg[3])
+        else:
+            assert op == "MAX_REPEAT"
+            inner = matches(arg[2])
+            part = [x * n for n in {arg[0], min(arg[1], arg[0] + 2)} for x in inner]
+        made = [x + y for x in made for y in dict.fromkeys(part)]
+    return made
+
+
+def test_keywords_are_in_every_match():
+    for r in licenses.rules():
+        for text in matches(re._parser.parse(r.pattern)):
+            assert re.fullmatch(r.pattern, text) and r.keyword in text, (r, text)
+    found = licenses.Scanner(licenses.rules())
+    labels = lambda t: {found.rules[i].label for *_, i, hidden in found.detect(t)[1] if not hidden}
+    assert "openrail-m" in labels(b"CreativeML Open RAIL-M License")
+
+
 def test_suppression():
     rank = [(5, False), (9, False), (1, True)]
     spans = [(random.randrange(40), 0, random.randrange(3)) for _ in range(200)]

@@ -78,7 +78,7 @@ gpl | gpl | 55 | (?:under|the) (?:terms of the )?gnu gpl
 gpl-2.0 | gpl | 80 | gpl ?v ?2(?: 0)?
 gpl-3.0 | gpl | 80 | gpl ?v ?3(?: 0)?
 gpl | www gnu org licenses | 75 | www gnu org licenses(?: gpl)?(?: html)?
-gpl | copying | 65 | you should have received a copy of the gnu general public license along with
+gpl | you should have received a copy | 65 | you should have received a copy of the gnu general public license along with
 lgpl-2.0 | library general public license | 90 | gnu library general public license(?: version 2(?: 0)?)?
 lgpl-2.1 | lesser general public license | 92 | gnu lesser general public license (?:version|v) ?2 1
 lgpl-3.0 | lesser general public license | 92 | gnu lesser general public license (?:version|v) ?3(?: 0)?
@@ -118,7 +118,7 @@ php-3.01 | php license | 85 | php license version 3 01
 php | php license | 70 | php license
 zlib | zlib | 80 | zlib(?: libpng)? license
 zlib | altered source versions | 85 | altered source versions must be plainly marked as such
-libpng | libpng | 80 | (?:png reference library|libpng) license(?: version 2)?
+libpng | png | 80 | (?:png reference library|libpng) license(?: version 2)?
 bsl-1.0 | boost software license | 88 | boost software license(?: version 1 0)?
 bsl-1.0 | boost org | 92 | www boost org license 1 0 txt
 unlicense | unlicense | 80 | (?:the unlicense|unlicense org)
@@ -179,7 +179,7 @@ busl-1.1 | business source license | 85 | business source license(?: 1 1)?
 elastic-2.0 | elastic license | 85 | elastic license(?: 2 0)?
 commons-clause | commons clause | 85 | commons clause license condition
 polyform-noncommercial | polyform | 85 | polyform noncommercial license
-openrail-m | openrail | 85 | (?:creativeml |bigscience )?(?:bigcode )?open ?rail m(?: license)?
+openrail-m | rail m | 85 | (?:creativeml |bigscience )?(?:bigcode )?open ?rail m(?: license)?
 llama-community | llama | 80 | llama [0-9]+(?: [0-9]+)? community license
 gemma | gemma terms | 80 | gemma terms of use
 cecill-2.1 | cecill | 80 | cecill (?:free software )?license agreement
