@@ -404,3 +404,13 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, sf)
     ids = [r.doc_id for r in out.collect()]
     assert 0 < len(ids) == len(set(ids)) <= docs.count()
+
+
+def test_pipeline_shards_by_bytes(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    size = sum(len((t or "").encode()) + 1 for (t,) in docs.select("text").collect())
+    monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", size // 3 + 1, raising=False)
+    assert {r.shard for r in corpus_pipeline.sharding(spark, docs, "").collect()} <= {0, 1, 2}
+    monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", size)
+    assert {r.shard for r in corpus_pipeline.sharding(spark, docs, "").collect()} == {0}
