@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,38 @@ def arrow_stage(df: DataFrame, inputs: dict[str, str], outputs: T.StructType, fn
     return src.mapInArrow(run, schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Tables of rows sorted by their first ``n_keys`` columns, cut between groups, and the rows at which their groups begin."""
+    held: list[pa.RecordBatch] = []
+
+    def done():
+        table = pa.Table.from_batches(held).combine_chunks()
+        return table, [0, *changes(table)] if table.num_rows else []
+
+    def changes(table) -> list[int]:
+        new = np.zeros(max(table.num_rows - 1, 0), dtype=bool)
+        for i in range(n_keys):
+            c = table.column(i).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(i).to_numpy()
+            new |= c[1:] != c[:-1]
+        return (np.flatnonzero(new) + 1).tolist()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = changes(batch)
+        if held and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in range(n_keys)):
+            yield done()
+            held = []
+        if cuts:
+            held.append(batch.slice(0, cuts[-1]))
+            yield done()
+            held = [batch.slice(cuts[-1])]
+        else:
+            held.append(batch)
+    if held:
+        yield done()
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -15,7 +15,6 @@ by the Jaccard similarity of word shingles are found without fingerprints
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -232,18 +231,20 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """One document of each group of near copies (Jaccard of five-word shingles 0.8 or more) stays: the one with the smallest id.
 
     Null ids come after all others. Of rows that repeat both id and text, the
-    one with the smallest hash of its columns stays.
+    one with the smallest hash of its columns stays, once. Texts without words
+    are copies of each other. An empty table gives no rows. Extra columns stay,
+    whatever their names.
     """
-    out = T.StructType([T.StructField("__class", T.BinaryType())])
-    fn = lambda cols: [pa.array([hashlib.md5(b" ".join(fold_words(t))).digest() for t in texts(cols["text"])], pa.binary())]
-    rows = arrow_stage(docs, {"text": text}, out, fn)
-    first = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
-    distinct = rows.groupBy("__class").agg(F.min(first).alias("first"), F.first(text).alias("text"))
-    distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()), "near-texts")
-    placed = distinct.select("__class", "first", "node").join(similar_groups(distinct.select("node", "text")), "node", "left")
-    kept = placed.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("first", "__class")).alias("kept"))
+    # The row travels as one struct, so that no column's name can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    folded = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = F.md5(F.trim(F.regexp_replace(folded, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")))
+    first = F.struct(F.col(f"`{id_col}`").isNull().alias("null"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
+    distinct = docs.select(row.alias("row"), key.alias("class"), first.alias("first")).groupBy("class").agg(F.min_by("row", "first").alias("row"), F.min("first").alias("first"))
+    distinct = written(distinct.select("row", "first", F.monotonically_increasing_id().alias("node")), "near-texts")
+    grouped = written(similar_groups(distinct.select("node", F.col("row").getField(text).alias("text"))), "near-groups")
+    members = distinct.select("node", "first").join(grouped, "node")
+    kept = members.groupBy("root").agg(F.min_by("node", F.struct("first", "node")).alias("kept"))
     # Written, as the size of a small table spares the texts a shuffle.
-    kept = written(kept.select("kept.__class", F.col("kept.first").alias("__first")), "near-kept")
-    joined = rows.withColumn("__first", first).join(kept, ["__class", "__first"])
-    # Rows equal in every column are one.
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "__class").dropDuplicates(["__class"]).drop("__class")
+    dropped = written(grouped.join(kept, "root").where("node <> kept").select("node"), "near-dropped")
+    return distinct.join(dropped, "node", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
