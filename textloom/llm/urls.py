@@ -1,7 +1,7 @@
 """URL filter: host and path rules first, gradient-boosted trees on lexical features for the rest; DataFrame functions only.
 
 Trees are fitted on the driver from a bounded sample of labelled URLs
-(``sample`` rows, chosen by hash) and scored as one SQL expression, so judging
+(``sample`` distinct ones, chosen by hash) and scored as one SQL expression, so judging
 URLs is a narrow projection. Null URLs and URLs without '://' have an empty
 host and path; they are judged by the trees like any URL without a rule. With
 no labelled URLs of both kinds the trees reduce to a constant.
@@ -15,8 +15,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import load
+from textloom.llm.common import hashed_share, load
 
+OUTPUT = ("host", "path", "rule", "score", "verdict")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: verdict, host and path.
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -137,10 +138,11 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str]] | None = None, url: s
     """Adds host, path, rule, score (chance of block) and verdict.
 
     labelled: rows (url, label 0/1) to learn from; by default the URLs that a
-    rule decides. Extra columns are dropped unless named in ``keep``.
+    rule decides. Repeated URLs teach once. Extra columns are dropped unless
+    named in ``keep``; the added ones replace kept columns of the same name.
     """
     rules = RULES if rules is None else rules
-    keep = [] if keep is None else keep
+    keep = [c for c in keep or [] if c not in OUTPUT]
     rows = parsed(df.select(*keep, F.col(url).alias("__url")), "__url")
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
     rows = rows.withColumns({"rule": rule, "__said": verdict})
@@ -149,19 +151,29 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str]] | None = None, url: s
     else:
         known = parsed(labelled.select(F.col("url").alias("__url"), F.col("label").cast("int").alias("label")).where("label IS NOT NULL"), "__url")
     made, parts = features("__url"), suffixes()
-    known = known.orderBy(F.xxhash64("__url"), "__url").limit(sample).select("label", *[c.alias(k) for k, c in made.items()], *[c.alias(k) for k, c in parts.items()]).collect()
+    # Each URL teaches once, with its largest label.
+    known = known.where(hashed_share(known, F.col("__url"), sample)).groupBy("__url", "host", "path").agg(F.max("label").alias("label"))
+    known = known.orderBy(F.xxhash64("__url"), "__url").limit(sample).select("label", (F.xxhash64("__url") % 2 == 0).alias("half"), *[c.alias(k) for k, c in made.items()], *[c.alias(k) for k, c in parts.items()]).collect()
     y = np.array([r["label"] for r in known], dtype=float)
     mean = float(y.mean()) if len(y) else 0.5
-    shares: dict[str, dict[str, float]] = {}
-    for k in parts:  # smoothed share of label 1; values seen fewer than 20 times count as unknown
-        sums: dict[str, list[float]] = {}
-        for r, label in zip(known, y, strict=True):
-            s = sums.setdefault(r[k], [0.0, 0.0])
-            s[0], s[1] = s[0] + label, s[1] + 1
-        top = sorted((v for v in sums.items() if v[1][1] >= 20), key=lambda v: (-v[1][1], v[0]))[:64]
-        shares[k] = {v: (a + 5 * mean) / (n + 5) for v, (a, n) in top}
+
+    def label_shares(some: list) -> dict[str, dict[str, float]]:
+        """Of each part's values the smoothed share of label 1; values seen fewer than 20 times count as unknown."""
+        out = {}
+        for k in parts:
+            sums: dict[str, list[float]] = {}
+            for r in some:
+                s = sums.setdefault(r[k], [0.0, 0.0])
+                s[0], s[1] = s[0] + r["label"], s[1] + 1
+            top = sorted((v for v in sums.items() if v[1][1] >= 20), key=lambda v: (-v[1][1], v[0]))[:64]
+            out[k] = {v: (a + 5 * mean) / (n + 5) for v, (a, n) in top}
+        return out
+
+    shares = label_shares(known)
+    # Trees learn from shares that come from the other half of the URLs, so that no URL's label is among its own features.
+    other = {half: label_shares([r for r in known if r["half"] != half]) for half in (True, False)}
     names = list(made) + list(parts)
-    x = np.array([[r[k] for k in made] + [shares[k].get(r[k], mean) for k in parts] for r in known], dtype=float).reshape(-1, len(names))
+    x = np.array([[r[k] for k in made] + [other[r["half"]][k].get(r[k], mean) for k in parts] for r in known], dtype=float).reshape(-1, len(names))
     base, trees = fit_trees(x, y, names)
     numeric = {k: c for k, c in made.items()}
     for k, c in parts.items():
