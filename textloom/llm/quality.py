@@ -9,7 +9,9 @@ scores are mapped to 0..1 so that it comes to 0.7.
 
 Learning uses at most ``sample`` labelled documents (by hash of the id) and
 ``pairs_each`` pairs a document. Null and empty texts have the features of an
-empty text. Null labels are ignored, repeated ones count as their largest.
+empty text. Null labels are ignored, repeated ones count as their largest; of
+rows that repeat a labelled id the smallest text is learned from. Null ids are
+never learned from, and op8's held_out is null for them.
 Without good or bad examples every score is the share of good labels (0.5 if
 there are none). Repeated rows are scored each; extra columns are ignored.
 """
@@ -28,9 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_stage, load, remainder, sample_ids, texts, written
+from textloom.llm.common import arrow_stage, labelled_texts, load, remainder, sample_ids, texts, written
 
 THRESHOLD = 0.7
+#: Pairs whose differences are held at once.
+PAIRS = 1 << 13
 FEATURES = ["log_bytes", "word_length", "symbols", "punctuation", "digits", "upper", "blanks", "unique_words", "top_word", "line_words", "repeated_lines", "repeated_pairs", "ends", "pipes", "symbol_words", "packed", "bad_bytes", "urls", "short_words", "run"]
 _UPPER = bytes(b for b in range(256) if not 65 <= b <= 90)
 _DIGIT = bytes(b for b in range(256) if not 48 <= b <= 57)
@@ -69,7 +73,7 @@ def describe(text: bytes) -> list[float]:
         sum(1 for x in lines if x[-1:] in b".!?") / max(len(lines), 1),
         text.count(b"|") / m,
         symbol_words / m,
-        len(zlib.compress(text[:65536], 1)) / min(n, 65536) if n <= 65536 else sum(len(zlib.compress(text[i : i + 65536], 1)) for i in range(0, n, 65536)) / n,
+        sum(len(zlib.compress(text[i : i + 65536], 1)) for i in range(0, n, 65536)) / n,
         (text.count(b"\xef\xbf\xbd") + text.count(b"\x00")) / n,
         (text.count(b"http") + text.count(b"www.")) / m,
         sum(1 for w in words if len(w) <= 2) / m,
@@ -118,15 +122,17 @@ def rank(x: np.ndarray, y: np.ndarray, bins: int = 12, pairs_each: int = 8, l2:
     draw = np.random.default_rng(seed)
     wins = np.concatenate([np.repeat(good, pairs_each), draw.choice(good, len(bad) * pairs_each)])
     loses = np.concatenate([draw.choice(bad, len(good) * pairs_each), np.repeat(bad, pairs_each)])
-    diff = np.zeros((len(wins), width), dtype=np.float32)
-    rows = np.arange(len(wins))[:, None]
-    np.add.at(diff, (rows, codes[wins]), 1.0)
-    np.add.at(diff, (rows, codes[loses]), -1.0)
     w = np.zeros(width)
     for _ in range(12):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))  # chance that the pair came out the other way
-        grad = -(diff.T @ p) / pairs_each + l2 * w
-        hess = (diff.T * (p * (1 - p))) @ diff / pairs_each + l2 * np.eye(width)
+        grad, hess = l2 * w, l2 * np.eye(width)
+        for at in range(0, len(wins), PAIRS):
+            diff = np.zeros((min(PAIRS, len(wins) - at), width), dtype=np.float32)
+            rows = np.arange(len(diff))[:, None]
+            np.add.at(diff, (rows, codes[wins[at : at + PAIRS]]), 1.0)
+            np.add.at(diff, (rows, codes[loses[at : at + PAIRS]]), -1.0)
+            p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))  # chance that the pair came out the other way
+            grad -= (diff.T @ p) / pairs_each
+            hess += (diff.T * (p * (1 - p)).astype(np.float32)) @ diff / pairs_each
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-5:
@@ -145,10 +151,10 @@ def rank(x: np.ndarray, y: np.ndarray, bins: int = 12, pairs_each: int = 8, l2:
 def learn(docs: DataFrame, labels: DataFrame, allowed=None, sample: int = 20_000) -> Ranker:
     """A ranker from labelled documents (doc_id, quality)."""
     ids = sample_ids(labels, "quality", F.lit(True) if allowed is None else allowed, sample)
-    known = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most ``sample`` ids
+    known = labelled_texts(docs, ids)
     out = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))])
     rows = written(arrow_stage(known, {"text": "text"}, out, lambda cols: [pa.array([describe(t) for t in texts(cols["text"])], pa.list_(pa.float64()))], ["doc_id", "label"]), "quality-known")
-    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample).collect()  # more rows than ids only where ids repeat
+    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # at most ``sample`` rows
     return rank(np.array([r["x"] for r in got], dtype=float).reshape(-1, len(FEATURES)), np.array([r["label"] for r in got], dtype=int))
 
 
