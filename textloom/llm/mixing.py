@@ -21,7 +21,8 @@ topic column can be named instead.
 
 Null ids are drawn by the hash of null; rows that repeat an id are kept or go
 together. Null and empty texts have no tokens; they have their cell's weight
-(1 for cells without tokens). An empty table gives no rows. Extra columns stay.
+(1 for cells without tokens). Tables without a source or language column have
+one class there, '*'. An empty table gives no rows. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -31,13 +32,15 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_stage, fold_words, load, texts, written
+from textloom.llm.common import arrow_stage, fold_words, load, spare, texts, written
 
 TOPICS = 8
+#: Columns that mix() adds.
+ADDED = ("source", "lang", "topic", "tokens", "weight", "probability", "selected")
 #: Target shares of tokens.
 TARGETS: dict[str, dict[str, float]] = {
     "source": {"src0": 0.30, **{f"src{i}": 0.68 / 19 for i in range(1, 20)}, "*": 0.02},
@@ -84,27 +87,39 @@ def rake(cells: np.ndarray, targets: list[np.ndarray], pull: list[float] | None
     return x
 
 
-def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text: str = "text", topic_col: str | None = None, pull: dict[str, float] | None = None, budget: float | None = None, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
-    """Adds __source, __lang, __topic, __tokens, __weight, __probability and __selected. Rows are scanned twice, never shuffled."""
+def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text: str = "text", source_col: str | None = "source", lang_col: str | None = "lang", topic_col: str | None = None, pull: dict[str, float] | None = None, budget: float | None = None, seed: int = 17, keep: list[str] | None = None, prefix: str = "__") -> DataFrame:
+    """Adds source, lang, topic, tokens, weight, probability and selected, each name after ``prefix``; they replace columns of the same name.
+
+    Rows are never shuffled. Texts are read twice only where they are kept.
+    """
     targets = TARGETS if targets is None else targets
     n_topics = len(targets["topic"])
-    out = T.StructType([T.StructField("__tokens", T.LongType()), T.StructField("__topic", T.StringType())])
+    keep = df.columns if keep is None else keep
+    c_source, c_lang, c_topic, c_tokens, c_weight, c_probability, c_selected = (prefix + x for x in ADDED)
+    out = T.StructType([T.StructField(c_tokens, T.LongType()), T.StructField(c_topic, T.StringType())])
 
     def fn(cols):
         words = [fold_words(t) for t in texts(cols["text"])]
         return [pa.array([len(w) for w in words], pa.int64()), pa.array([str(topic_of(w, n_topics)) for w in words])]
 
-    named = lambda col, dim: F.when(col.isin([k for k in targets[dim] if k != "*"]), col).otherwise(F.lit("*"))
-    rows = df.withColumns({"__source": named(F.col("source"), "source"), "__lang": named(F.col("lang"), "lang")})
-    rows = arrow_stage(rows, {"text": text}, out, fn, [*(df.columns if keep is None else keep), "__source", "__lang"])
-    if topic_col is not None:
-        rows = rows.withColumn("__topic", named(F.col(topic_col).cast("string"), "topic"))
-    dims = [("source", "__source"), ("lang", "__lang"), ("topic", "__topic")]
+    def named(column: str | None, dim: str) -> Column:
+        if column is None or column not in df.columns:
+            return F.lit("*")
+        value = F.col(f"`{column}`").cast("string")
+        return F.when(value.isin([k for k in targets[dim] if k != "*"]), value).otherwise(F.lit("*"))
+
+    t_id, t_source, t_lang, t_topic = spare([*df.columns, *(prefix + x for x in ADDED)], "__id", "__s", "__l", "__t")
+    rows = df.withColumns({t_id: F.col(f"`{id_col}`"), t_source: named(source_col, "source"), t_lang: named(lang_col, "lang"), t_topic: named(topic_col, "topic")})
+    rows = arrow_stage(rows, {"text": text}, out, fn, [*keep, t_id, t_source, t_lang, t_topic])
+    rows = rows.withColumns({c_source: F.col(t_source), c_lang: F.col(t_lang)} | ({c_topic: F.col(t_topic)} if topic_col is not None else {})).drop(t_source, t_lang, t_topic)
+    if text not in keep:
+        rows = written(rows, "mixing-rows")
+    dims = [("source", c_source), ("lang", c_lang), ("topic", c_topic)]
     names = [list(targets[d]) + ["*"] * ("*" not in targets[d]) for d, _ in dims]
-    found = rows.groupBy(*[c for _, c in dims]).agg(F.sum("__tokens").alias("n")).collect()  # bounded by the targets
+    found = rows.groupBy(*[c for _, c in dims]).agg(F.sum(c_tokens).alias("n")).collect()  # bounded by the targets
     cells = np.zeros([len(n) for n in names])
     for r in found:
-        cells[tuple(n.index(r[c]) for n, (_, c) in zip(names, dims, strict=True))] += r["n"] or 0
+        cells[tuple(n.index(r[k]) for k, n in enumerate(names))] += r["n"] or 0
     raked = rake(cells, [np.array([targets[d].get(k, 0.0) for k in n]) for (d, _), n in zip(dims, names, strict=True)], [(pull or {}).get(d, 1.0) for d, _ in dims])
     weight = np.divide(raked, cells, out=np.ones_like(raked), where=cells > 0)
     scale = 1 / max(weight[cells > 0].max(initial=0.0), 1e-300) if cells.sum() > 0 else 1.0
@@ -115,17 +130,21 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
             lo, hi = (scale, hi) if (np.minimum(1, scale * weight) * cells).sum() < budget else (lo, scale)
     spark = df.sparkSession
     table = [(*[n[i] for n, i in zip(names, at, strict=True)], float(weight[at]), float(min(1.0, scale * weight[at]) if cells[at] > 0 else 1.0)) for at in np.ndindex(*cells.shape)]
-    table = spark.createDataFrame(table, "__source string, __lang string, __topic string, __weight double, __probability double")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col)), 11) / F.lit(float(1 << 53))
-    return rows.join(F.broadcast(table), [c for _, c in dims], "left").withColumn("__selected", draw < F.col("__probability"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for _, c in dims] + [T.StructField(c, T.DoubleType()) for c in (c_weight, c_probability)])
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(t_id)), 11) / F.lit(float(1 << 53))
+    rows = rows.drop(c_weight, c_probability, c_selected)
+    return rows.join(F.broadcast(spark.createDataFrame(table, schema)), [c for _, c in dims], "left").withColumn(c_selected, draw < F.col(c_probability)).drop(t_id)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cell, tokens, weight, probability and whether it is kept."""
     found = mix(load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), keep=["doc_id"])
-    return found.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("source", "lang", "topic", "tokens", "weight", "probability", "selected")])
+    return found.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ADDED])
 
 
 def sample_mix(docs: DataFrame) -> DataFrame:
-    """The documents kept, with their own columns."""
-    return mix(docs).where("__selected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents kept, with their own columns, whatever their names."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return mix(docs, prefix=prefix).where(F.col(prefix + "selected")).select(*[F.col(f"`{c}`") for c in docs.columns])
