@@ -8,10 +8,10 @@ window of SPAN words within them occurs in the document. Items of fewer words
 are a single fingerprint of their own length, looked up among all grams of that
 length.
 
-Words are interned by the benchmark's vocabulary, so that hashes and
-comparisons are of small integers and extension is exact. The benchmark is cut
-into slices of at most SLICE_BYTES of text, each broadcast in its turn; every
-document passes every slice.
+A benchmark of at most SLICE_BYTES of text is broadcast with its fingerprints,
+and documents are judged where they lie, in one narrow pass. A larger one is
+joined as a table of fingerprints; the pairs (document, item) that meet are
+then extended text by text. Both ways compare words, so hashes decide no result.
 
 Null texts have no words; items without words are ignored. Repeated items count
 once each by id. Rows that repeat a document are judged each. A null item id
@@ -21,17 +21,20 @@ counts as an item, written ''. Extra columns stay.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_stage, fold_words, load, texts, written
+from textloom.llm.common import arrow_stage, fold_words, load, spare, texts, written
 
 SPAN, GRAM = 10, 6
+#: Of benchmark text that is broadcast.
 SLICE_BYTES = 32 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,7 +71,7 @@ def winnow(h: np.ndarray, w: int) -> np.ndarray:
 
 @dataclass
 class Slice:
-    """Part of a benchmark: vocabulary, items as ids, and fingerprints sorted by hash with the places (item, position) they stand for."""
+    """A benchmark, or one item of it: vocabulary, items as ids, and fingerprints sorted by hash with the places (item, position) they stand for."""
 
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     names: list[str] = field(default_factory=list)
@@ -160,53 +163,103 @@ def union_length(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def slices(benchmark: DataFrame, item_id: str, text: str) -> list[Slice]:
-    """The benchmark in slices; the driver holds one slice's rows at a time while it builds it."""
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // SLICE_BYTES))
-    part = F.pmod(F.xxhash64("name", "text"), F.lit(n))
-    return [Slice.of([(r["name"], fold_words(r["text"].encode())) for r in rows.where(part == k).orderBy("name", "text").collect()]) for k in range(n)]
+def arrow_hits(found: list[tuple[set, set]]) -> list[pa.Array]:
+    """Columns from, to and items of (spans, names)."""
+    longs, spans = pa.list_(pa.int64()), [sorted(x) for x, _ in found]
+    return [pa.array([[a for a, _ in x] for x in spans], longs), pa.array([[b for _, b in x] for x in spans], longs), pa.array([sorted(x) for _, x in found], pa.list_(pa.string()))]
 
 
-HITS = T.StructType([T.StructField("__words", T.LongType()), T.StructField("__from", T.ArrayType(T.LongType())), T.StructField("__to", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType()))])
+def print_hashes(words: list[bytes], lengths: list[int] | None) -> np.ndarray:
+    """Fingerprints that need no vocabulary: of a document (all grams of the ``lengths`` of short items, winnowed ones else) or an item (None)."""
+    ids = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+    found = []
+    if len(ids) >= SPAN:
+        h = gram_hashes(ids, GRAM)
+        found.append(h[winnow(h, SPAN - GRAM + 1)])
+    elif lengths is None and len(ids):
+        found.append(gram_hashes(ids, len(ids)) + np.uint64(len(ids)))
+    for n in lengths or []:
+        found.append(gram_hashes(ids, n) + np.uint64(n))
+    return np.unique(np.concatenate(found)).view(np.int64) if found else np.zeros(0, dtype=np.int64)
 
 
-def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds __words, the hit spans (__from, __to: first words and ends) and __items (ids of items met, sorted). Narrow passes, no shuffle."""
-    spark = df.sparkSession
-    parts = slices(benchmark, item_id, item_text)
-    for k, one in enumerate(parts):
-        shared = spark.sparkContext.broadcast(one)  # at most SLICE_BYTES of text
+def prints(rows: DataFrame, key: str, lengths: list[int] | None) -> DataFrame:
+    """(h, key) of every fingerprint of the rows (key, text)."""
 
-        def fn(cols, shared=shared):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
+                found = [print_hashes(fold_words(t), lengths) for t in texts(b.column(1))]
+                keys = np.repeat(b.column(0).to_numpy(), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(keys)], names=["h", key])
+
+    return rows.select(key, "text").mapInArrow(emit, f"h long, {key} long")
+
+
+def joined(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """(row, from, to, items) of the documents (row, text) that share a window with an item (item, name, text); both written tables."""
+    short = items.select(F.trim(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")).alias("t")).where("t <> ''").select(F.size(F.split("t", " ")).alias("n"))
+    lengths = sorted(r["n"] for r in short.where(f"n < {SPAN}").distinct().collect())  # fewer than SPAN numbers
+    pairs = written(prints(rows, "row", lengths).join(prints(items, "item", None), "h").select("row", "item").distinct(), "decontamination-pairs")
+    named = items.select("item", "name", F.col("text").alias("theirs"))
+    pairs = rows.join(pairs.join(named, "item"), "row").select("row", "text", "theirs", "name")
+    out = T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("from", "to")] + [T.StructField("items", T.ArrayType(T.StringType()))])
+
+    def fn(cols):
+        found = []
+        for mine, theirs, name in zip(texts(cols["text"]), texts(cols["theirs"]), cols["name"].to_pylist(), strict=True):
+            s = Slice.of([(name, fold_words(theirs))])
+            spans, met = s.spans(np.array([s.vocabulary.get(w, -1) for w in fold_words(mine)], dtype=np.int64))
+            found.append((set(spans), {name} if met else set()))
+        return arrow_hits(found)
+
+    hits = arrow_stage(pairs, {"text": "text", "theirs": "theirs", "name": "name"}, out, fn, ["row"]).where(F.size("items") > 0)
+    hits = hits.select("row", F.arrays_zip("from", "to").alias("spans"), F.col("items")[0].alias("name")).groupBy("row")
+    hits = hits.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"), F.array_sort(F.collect_set("name")).alias("items"))
+    return hits.select("row", F.col("spans.from").alias("from"), F.col("spans.to").alias("to"), "items")
+
+
+ADDED = ("words", "from", "to", "items")
+
+
+def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, prefix: str = "__") -> DataFrame:
+    """Adds words (their number), the hit spans (from, to: first words and ends) and items (ids of items met, sorted), each name after ``prefix``.
+
+    They replace columns of the same name. Without a shuffle for a benchmark of at most SLICE_BYTES.
+    """
+    spark, longs = df.sparkSession, T.ArrayType(T.LongType())
+    keep = df.columns if keep is None else keep
+    c_words, c_from, c_to, c_items = (prefix + x for x in ADDED)
+    words = T.StructField(c_words, T.LongType())
+    items = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("name"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("text"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size <= SLICE_BYTES:
+        rows = items.orderBy("name", "text").where(F.length("text") > 0).collect()  # at most SLICE_BYTES
+        shared = spark.sparkContext.broadcast(Slice.of([(r["name"], fold_words(r["text"].encode())) for r in rows]))
+        out = T.StructType([words, T.StructField(c_from, longs), T.StructField(c_to, longs), T.StructField(c_items, T.ArrayType(T.StringType()))])
+
+        def fn(cols):
             s = shared.value
             get = s.vocabulary.get
-            n_words, start, end, items = [], [], [], []
-            old = zip(cols["a"].to_pylist(), cols["b"].to_pylist(), cols["i"].to_pylist(), strict=True) if "a" in cols else None
+            n, found = [], []
             for t in texts(cols["text"]):
-                words = fold_words(t)
-                spans, met = s.spans(np.array([get(w, -1) for w in words], dtype=np.int64))
-                spans = set(spans)
-                names = {s.names[i] for i in met}
-                if old is not None:
-                    a, b, i = next(old)
-                    spans |= set(zip(a, b, strict=True))
-                    names |= set(i)
-                spans = sorted(spans)
-                n_words.append(len(words))
-                start.append([a for a, _ in spans])
-                end.append([b for _, b in spans])
-                items.append(sorted(names))
-            longs = pa.list_(pa.int64())
-            return [pa.array(n_words, pa.int64()), pa.array(start, longs), pa.array(end, longs), pa.array(items, pa.list_(pa.string()))]
-
-        inputs = {"text": text} | ({"a": "__from", "b": "__to", "i": "__items"} if k else {})
-        names = None if keep is None else [*keep, text] if k + 1 < len(parts) and text not in keep else keep
-        df = arrow_stage(df, inputs, HITS, fn, names)
-        if k + 1 < len(parts):
-            df = written(df, "decontamination")  # the next slice's workers do not meet this one's
-    return df
+                w = fold_words(t)
+                spans, met = s.spans(np.array([get(x, -1) for x in w], dtype=np.int64))
+                n.append(len(w))
+                found.append((set(spans), {s.names[i] for i in met}))
+            return [pa.array(n, pa.int64()), *arrow_hits(found)]
+
+        return arrow_stage(df, {"text": text}, out, fn, keep)
+    c_row, c_text = spare([*df.columns, c_words, c_from, c_to, c_items], "__row", "__text")
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(c_text), F.monotonically_increasing_id().alias(c_row))
+    rows = written(arrow_stage(rows, {"text": c_text}, T.StructType([words]), lambda cols: [pa.array([len(fold_words(t)) for t in texts(cols["text"])], pa.int64())]), "decontamination-rows")
+    items = written(items.where(F.length("text") > 0).withColumn("item", F.monotonically_increasing_id()), "decontamination-items")
+    hits = joined(rows.select(F.col(f"`{c_row}`").alias("row"), F.col(f"`{c_text}`").alias("text")), items)
+    hits = hits.select(F.col("row").alias(c_row), F.col("from").alias(c_from), F.col("to").alias(c_to), F.col("items").alias(c_items))
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    found = rows.drop(c_from, c_to, c_items, c_text).join(hits, c_row, "left").drop(c_row)
+    return found.withColumns({c_from: none(c_from, "array<bigint>"), c_to: none(c_to, "array<bigint>"), c_items: none(c_items, "array<string>")})
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +276,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that share no window with the benchmark, with their own columns."""
-    return find_contamination(docs, benchmark).where(F.size("__items") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that share no window with the benchmark, with their own columns, whatever their names."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return find_contamination(docs, benchmark, prefix=prefix).where(F.size(prefix + "items") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 OP10_SQL = r"""
