@@ -9,8 +9,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from textloom.llm import components, decontamination, licenses, minhash, mixing, quality, sharding, simhash, toxicity, urls, warc
+from textloom.llm import common, components, decontamination, jaccard, licenses, minhash, mixing, quality, registry, sharding, simhash, toxicity, urls, warc
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 random.seed(3)
@@ -376,7 +377,7 @@ def test_mixing(spark, docs):
 
 def test_decontamination(spark, folder, docs, monkeypatch):
     items = {str(i): fold(t) for i, t in BENCH}
-    for limit in (decontamination.SLICE_BYTES, 60):  # one slice, and several
+    for limit in (decontamination.SLICE_BYTES, 60):  # broadcast, and joined
         monkeypatch.setattr(decontamination, "SLICE_BYTES", limit)
         for r in decontamination.op10_decontamination(spark, folder).collect():
             w, hit, met = fold(TEXTS[r.doc_id // 3]), set(), set()
@@ -414,3 +415,139 @@ def test_pipeline_shards_by_bytes(spark, docs, monkeypatch):
     assert {r.shard for r in corpus_pipeline.sharding(spark, docs, "").collect()} <= {0, 1, 2}
     monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", size)
     assert {r.shard for r in corpus_pipeline.sharding(spark, docs, "").collect()} == {0}
+
+
+TABLES = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string", "benchmark": "item_id long, text string"}
+
+
+def test_empty_tables(spark, tmp_path):
+    """Every operator and the pipeline give an empty result, with its columns, for empty tables."""
+    import corpus_pipeline
+
+    for name, schema in TABLES.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, query in {**registry.queries(), "pipeline": corpus_pipeline.run}.items():
+        found = query(spark, str(tmp_path))
+        assert found.columns and found.count() == 0, name
+
+
+def test_clashing_names(spark, docs):
+    """Columns named like the operators' own stay what they were, or are replaced where the docstring says so."""
+    names = ["__words", "__from", "__items", "__source", "__tokens", "__selected", "row", "node", "class", "first", "root", "kept", "_x", "__in_0"]
+    odd = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    for found in (decontamination.drop_contaminated(odd, bench), mixing.sample_mix(odd), simhash.drop_near_duplicates(odd)):
+        assert found.columns == odd.columns
+        rows = found.where("doc_id IS NOT NULL").collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
+    pages = spark.createDataFrame([(1, "http://a.com/", "mine", "mine")], "page_id long, url string, host string, rule string")
+    assert urls.judge_urls(pages, keep=["page_id", "host"]).columns == ["page_id", "host", "path", "rule", "score", "verdict"]
+    renamed = docs.withColumnRenamed("doc_id", "class")
+    assert simhash.near_duplicates(renamed, id_col="class").columns == ["class", "fp", "component"]
+    assert sharding.kd_shards(docs.withColumnRenamed("doc_id", "node"), 2, id_col="node").columns == ["node", "size", "text_crc32", "shard", "slot"]
+    with pytest.raises(ValueError):
+        sharding.kd_shards(docs.withColumnRenamed("doc_id", "shard"), 2, id_col="shard")
+
+
+def test_large_groups_in_slices(spark, monkeypatch):
+    """Small cells, and counts of frequent shingles by partial sums, give the same groups."""
+    draw = random.Random(14)
+    base = [f"{draw.choice(VOCAB)}{draw.randrange(3000)}" for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for i in draw.sample(range(60), draw.randrange(1, 4)):
+            w[i] = f"new{draw.randrange(9000)}"
+        texts.append(" ".join(w))
+    want = slow_near(texts)
+    monkeypatch.setattr(jaccard, "CELL", 8)
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", 400)
+    monkeypatch.setattr(jaccard, "HOT", 4)
+    assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
+
+
+def test_compare():
+    """Links connect what comparing all pairs connects, given roots that are connected already."""
+    rng = np.random.default_rng(5)
+    for trial in range(40):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))).astype(np.uint64) for _ in range(rng.integers(2, 25))]
+        n = len(sets)
+        known = rng.integers(0, n, n) if trial % 2 else np.arange(n)
+        alike = [(a, b) for a in range(n) for b in range(a) if len(np.intersect1d(sets[a], sets[b])) >= 0.5 * len(np.union1d(sets[a], sets[b]))]
+        same = [(a, b) for a in range(n) for b in range(a) if known[a] == known[b]]
+        got = jaccard.compare(np.arange(n), known, None, sets, 0.5)
+        assert {tuple(sorted(x, reverse=True)) for x in got} <= set(alike) and len(got) < n
+        assert roots(n, [*same, *got]) == roots(n, [*same, *alike])
+
+
+@pytest.fixture(scope="module")
+def flipped(spark, tmp_path_factory):
+    """sf0.01's documents with its labels, and with those of held-out documents turned round."""
+    made = []
+    for turn in (False, True):
+        d = str(tmp_path_factory.mktemp("labels"))
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet").write.parquet(f"{d}/documents.parquet")
+        labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+        if turn:
+            labels = labels.withColumn("toxic", F.when(common.remainder(5) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic"))).withColumn("quality", F.when(common.remainder(4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+        labels.write.parquet(f"{d}/labels.parquet")
+        made.append(d)
+    return made
+
+
+@pytest.mark.parametrize("query, label, n, held", [(toxicity.op2_toxicity, "toxic", 5, 0), (quality.op8_quality, "quality", 4, 2)])
+def test_held_out(spark, flipped, query, label, n, held):
+    """Held-out labels are told well and have no influence on any score."""
+    plain, turned = ({r.doc_id: r for r in query(spark, d).collect()} for d in flipped)
+    assert {i: r.score for i, r in plain.items()} == {i: r.score for i, r in turned.items()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % n == held) and 0 <= r.score <= 1 for i, r in plain.items())
+    assert all(r.predicted == int(r.score >= (0.5 if n == 5 else 0.7)) for r in plain.values())
+    labels = {r.doc_id: r[label] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    told = [plain[i].predicted == y for i, y in labels.items() if plain[i].held_out]
+    assert len(told) > 50 and np.mean(told) >= 0.9  # about 5 % of the labels are wrong
+
+
+def test_urls_held_out(spark):
+    """Trees learn what marks the labelled URLs, and say it of URLs that they have not seen."""
+    draw = random.Random(15)
+    rows = []
+    for i in range(1500):
+        bad = draw.random() < 0.4
+        host = f"{'x' if bad else 'shop'}{draw.randrange(10**6) if bad else draw.choice('abcdef')}.{draw.choice(['top', 'org'] if bad else ['org', 'edu'])}"
+        path = "/" + "/".join(f"{draw.randrange(10**5)}" if bad else draw.choice(["news", "about", "item"]) for _ in range(draw.randrange(1, 4)))
+        rows.append((f"http://{host}{path}{'?id=%d&s=%d' % (i, i) if bad else ''}", int(bad)))
+    df = spark.createDataFrame(rows, "url string, label int")
+    fold = F.pmod(F.xxhash64("url"), F.lit(5))
+    got = urls.judge_urls(df.where(fold == 0), rules=[], keep=["label"], labelled=df.where(fold != 0)).collect()
+    assert len(got) > 200 and np.mean([(r.verdict == "block") == bool(r.label) for r in got]) >= 0.95
+
+
+def test_samples_are_bounded(spark):
+    """However many rows there are and however often ids repeat, about ``limit`` distinct values pass."""
+    rows = spark.range(200_000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    passed = rows.where(common.hashed_share(rows, F.col("doc_id"), 2000)).select("doc_id").distinct().count()
+    assert 2000 <= passed <= 2800
+    ids = common.sample_ids(rows, "toxic", F.lit(True), 2000)
+    assert ids.count() == 2000 == ids.select("doc_id").distinct().count()
+
+
+def test_near_copy_recall_at_scale_of_tables(spark):
+    """All pairs at 0.8 or more among the documents of sf0.01, against the brute force of an inverted index."""
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    sets = [slow_shingles(t) for t in texts]
+    holders = defaultdict(set)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].add(i)
+    links = []
+    for i, s in enumerate(sets):
+        common_ = defaultdict(int)
+        for x in s:
+            for j in holders[x]:
+                if j < i:
+                    common_[j] += 1
+        links += [(i, j) for j, n in common_.items() if n >= 0.8 * (len(s) + len(sets[j]) - n)]
+    blank = [i for i, s in enumerate(sets) if not s]
+    links += [(a, b) for a, b in zip(blank, blank[1:], strict=False)]
+    want = roots(len(texts), links)
+    assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +30,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. In local mode (tests) a temporary folder stands in where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="textloom-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
@@ -68,25 +70,50 @@ def arrow_stage(df: DataFrame, inputs: dict[str, str], outputs: T.StructType, fn
     inputs: name for ``fn`` -> column of df. fn gets a dict of Arrow arrays and
     returns a list of Arrow arrays in the order of ``outputs``. keep: columns of
     df that go on unchanged (all by default). Output names replace kept columns
-    of the same name.
+    of the same name; callers that must not replace any take names from spare().
     """
     new = {f.name for f in outputs}
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    names = [f"__in_{k}" for k in inputs]
-    src = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(n) for n, c in zip(names, inputs.values(), strict=True)])
-    schema = T.StructType([src.schema[c] for c in kept] + list(outputs.fields))
-    keys, n_kept = list(inputs), len(kept)
+    # An input that goes on unchanged travels once.
+    more = [c for c in dict.fromkeys(inputs.values()) if c not in kept]
+    src = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(more)])
+    schema = T.StructType([src.schema[i] for i in range(len(kept))] + list(outputs.fields))
+    places, n_kept = {k: [*kept, *more].index(c) for k, c in inputs.items()}, len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 b = batch.slice(at, 2048)
-                made = fn({k: b.column(n_kept + i) for i, k in enumerate(keys)})
+                made = fn({k: b.column(i) for k, i in places.items()})
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n_kept)] + made, names=[f.name for f in schema])
 
     return src.mapInArrow(run, schema)
 
 
+def spare(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all columns (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def hashed_share(rows: DataFrame, key: Column, limit: int) -> Column:
+    """A condition on the hash of ``key`` that about ``limit`` of its distinct values meet, or a few more; true where there are no more.
+
+    So a bounded sample never gathers more than its bound, however many tasks
+    there are and however often a value repeats.
+    """
+    h = F.xxhash64(key)
+    n = rows.agg(F.approx_count_distinct(h, 0.02)).first()[0]
+    if n * 0.9 <= limit:
+        return F.lit(True)
+    return F.shiftrightunsigned(h, 1) < int((1 << 63) * min(1.0, 1.2 * limit / n))
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[pa.Table, list[int]]]:
     """Tables of rows sorted by their first ``n_keys`` columns, cut between groups, and the rows at which their groups begin."""
     held: list[pa.RecordBatch] = []
@@ -126,14 +153,16 @@ def texts(column: pa.Array) -> list[bytes]:
 
 def sample_ids(labels: DataFrame, column: str, remainder_ok, limit: int) -> DataFrame:
     """At most ``limit`` labelled documents (doc_id, label), chosen by hash; repeated labels count as their largest."""
-    rows = (
-        labels.select("doc_id", F.col(column).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & remainder_ok)
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
+    rows = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & remainder_ok)
+    rows = rows.where(hashed_share(rows, F.col("doc_id"), limit)).groupBy("doc_id").agg(F.max("label").alias("label"))
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
+def labelled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of the sampled documents, one row an id: of rows that repeat it the smallest text. Null texts count as empty."""
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")  # as many ids as the sample's bound
+    return known.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+
+
 def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n

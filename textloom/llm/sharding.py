@@ -8,7 +8,8 @@ group. Quantiles come from histograms that are refined until a bin holds one
 key; the driver sees at most MAX_BINS bins a pass, whatever the data.
 
 Null texts count as empty, null languages or sources as ''. Repeated rows stay
-rows of their own. An empty table gives no rows. Extra columns are ignored.
+rows of their own. An empty table gives no rows. Extra columns are ignored; an id column named
+like one of the result's is not allowed.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ DIMS = ("size", "source_key", "lang_key", "text_crc32")
 
 
 def _median_cuts(groups: DataFrame, wanted: dict[int, tuple[str, float]]) -> dict[int, int]:
-    """For each node (dimension, target bytes): the largest key of the left half."""
+    """For each node (dimension, target bytes): the largest key of the left half. The driver sees MAX_BINS bins a pass, or 16 a node where nodes are more."""
     spark = groups.sparkSession
     lo = {n: (0, (1 << 63) - 1, 0.0) for n in wanted}  # node -> (from, to, bytes before)
     cuts: dict[int, int] = {}
@@ -41,9 +42,11 @@ def _median_cuts(groups: DataFrame, wanted: dict[int, tuple[str, float]]) -> dic
             .agg(F.sum("w").alias("w"), F.min("k").alias("a"), F.max("k").alias("b"))
             .collect()
         )
+        by_node: dict[int, list] = {}
+        for r in sorted(found, key=lambda r: (r["node"], r["bin"])):
+            by_node.setdefault(r["node"], []).append(r)
         for n in open_:
-            before = lo[n][2]
-            mine = sorted((r for r in found if r["node"] == n), key=lambda r: r["bin"])
+            before, mine = lo[n][2], by_node[n]
             last = None
             for r in mine:
                 if before + r["w"] >= wanted[n][1] or r is mine[-1]:
@@ -65,10 +68,12 @@ def _key(dim):
 
 def kd_shards(df: DataFrame, n_shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row; ``n_shards`` leaves, or as many as ``target_bytes`` asks for."""
-    text_of = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    blank = lambda c: F.crc32(F.coalesce(F.col(c), F.lit("")).cast("binary")) if c in df.columns else F.lit(0).cast("long")
+    if id_col.lower() in ("size", "text_crc32", "shard", "slot"):
+        raise ValueError(f"the id column cannot be named {id_col}: rename it")
+    text_of = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    blank = lambda c: F.crc32(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary")) if c in df.columns else F.lit(0).cast("long")
     rows = written(
-        df.select(F.col(id_col).alias(id_col), (F.octet_length(text_of) + F.lit(1)).cast("long").alias("size"), F.crc32(text_of).alias("text_crc32"), F.xxhash64(text_of).alias("h"), blank("source").alias("source_key"), blank("lang").alias("lang_key")),
+        df.select(F.col(f"`{id_col}`").alias("id"), (F.octet_length(text_of) + F.lit(1)).cast("long").alias("size"), F.crc32(text_of).alias("text_crc32"), F.xxhash64(text_of).alias("h"), blank("source").alias("source_key"), blank("lang").alias("lang_key")),
         "kd-rows",
     )
     groups = rows.groupBy("h", "text_crc32", "size").agg(F.sum("size").alias("w"), F.min("source_key").alias("source_key"), F.min("lang_key").alias("lang_key")).withColumn("node", F.lit(0))
@@ -98,8 +103,8 @@ def kd_shards(df: DataFrame, n_shards: int | None = None, target_bytes: int | No
         )
         leaves, first = grown, starts
     names = F.broadcast(spark.createDataFrame(sorted(first.items()), "node int, shard int"))
-    placed = rows.join(groups.join(names, "node").select("h", "text_crc32", "size", "shard"), ["h", "text_crc32", "size"]).select(id_col, "size", "text_crc32", "h", "shard")
-    return numbered(placed, id_col, rows.count())
+    placed = rows.join(groups.join(names, "node").select("h", "text_crc32", "size", "shard"), ["h", "text_crc32", "size"]).select("id", "size", "text_crc32", "h", "shard")
+    return numbered(placed, "id", rows.count()).withColumnRenamed("id", id_col)
 
 
 def numbered(placed: DataFrame, id_col: str, n_rows: int) -> DataFrame:

@@ -204,21 +204,22 @@ def fingerprints(df: DataFrame, plan: Plan, text: str, keep: list[str]) -> DataF
 
 
 def near_duplicates(df: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of df: id, class, fp, component (smallest id of the group).
+    """One row for each row of df: id, fp, component (smallest id of the group). The id column cannot be named fp or component.
 
     Null texts count as empty, and texts without words link like any others.
     Null ids are grouped like others but are never the smallest id unless a
     group has no other. Rows that repeat an id are told apart by their class. An
     empty table gives no rows. Extra columns are ignored.
     """
-    docs = written(fingerprints(df, plan, text, [id_col]), "simhash-docs")
-    nodes = written(docs.groupBy(F.col("class").alias("node")).agg(F.min(id_col).alias("rep"), F.min("fp").alias("fp")), "simhash-nodes")
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    docs = written(fingerprints(rows, plan, "text", ["id"]), "simhash-docs")
+    nodes = written(docs.groupBy(F.col("class").alias("node")).agg(F.min("id").alias("rep"), F.min("fp").alias("fp")), "simhash-nodes")
     edges = close_pairs(nodes, plan)
     roots = written(components(edges), "simhash-roots")
     placed = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
     placed = placed.join(smallest, "root").select(F.col("node").alias("class"), "component")
-    return docs.join(placed, "class").select(id_col, "class", "fp", "component")
+    return docs.join(placed, "class").select(F.col("id").alias(id_col), "fp", "component")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
