@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -9,9 +11,21 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a temporary folder where that is unset (tests)."""
+    """A new path below spark.checkpoint.dir, removed when the driver ends. In local mode (tests) a temporary folder stands in where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may have ended; the folder is the cluster's scratch space
+        pass
