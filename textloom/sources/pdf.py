@@ -170,11 +170,11 @@ def assemble(pages: DataFrame) -> DataFrame:
     return found.withColumn("status", F.when(F.col("n_pages") > 0, "ok").otherwise("failed"))
 
 
-def rich_documents(pages: DataFrame) -> DataFrame:
+def rich_documents(pages: DataFrame, clean=cleaning.clean_structured) -> DataFrame:
     """(filename, text, word_count, char_count, page_count): lines joined by blanks, pages by blank lines, cleaned; files without text are left out."""
     line = F.array_join(F.transform("lines", lambda x: x["text"]), " ")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", line.alias("text")))), lambda p: p["text"]), "\n\n")
-    found = pages.where("page IS NOT NULL").groupBy("filename").agg(body.alias("text"), F.count(F.lit(1)).alias("page_count")).withColumn("text", cleaning.clean_structured(F.col("text")))
+    found = pages.where("page IS NOT NULL").groupBy("filename").agg(body.alias("text"), F.count(F.lit(1)).alias("page_count")).withColumn("text", clean(F.col("text")))
     words = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
     return found.where("text <> ''").select("filename", "text", words.cast("long").alias("word_count"), F.length("text").cast("long").alias("char_count"), "page_count")
 
