@@ -181,8 +181,9 @@ def themes_of(names: DataFrame) -> DataFrame:
 def coherence_weights(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(theme, weight): 1 + ln(1 + n) / 10, and up to 1 for partners that seldom repeat."""
     partners = pairs.groupBy(F.col("a").alias("theme")).agg(F.count(F.lit(1)).alias("partners"), F.sum("n").alias("total"))
-    boost = F.least(2 * F.col("partners") / F.greatest("total", F.lit(1)), F.lit(1.0))
-    return counts.join(partners, "theme", "left").select("theme", (1 + F.log1p("n") / 10 + F.coalesce(boost, F.lit(0.0))).alias("weight"))
+    # least() skips nulls: themes without partners are told apart first.
+    boost = F.when(F.col("partners").isNull(), 0.0).otherwise(F.least(2 * F.col("partners") / F.greatest("total", F.lit(1)), F.lit(1.0)))
+    return counts.join(partners, "theme", "left").select("theme", (1 + F.log1p("n") / 10 + boost).alias("weight"))
 
 
 def hierarchy(counts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def reinforced(found: DataFrame, counts: DataFrame, pairs: DataFrame, weights: D
     told = both.join(F.broadcast(told), ["a", "b"]).groupBy("id", "a").agg(F.sum(0.3 * F.col("mi")).alias("m"))  # top pairs only
     rows = rows.drop("all").join(counts.join(weights, "theme"), "theme", "left")
     rows = rows.join(near.withColumnRenamed("a", "theme"), ["id", "theme"], "left").join(told.withColumnRenamed("a", "theme"), ["id", "theme"], "left")
-    base = 1 + F.coalesce(F.least(F.log1p("n") / 5, F.lit(0.5)), F.lit(0.0)) + F.coalesce("s", F.lit(0.0))
+    base = 1 + F.when(F.col("n").isNull(), 0.0).otherwise(F.least(F.log1p("n") / 5, F.lit(0.5))) + F.coalesce("s", F.lit(0.0))
     return rows.select("id", "theme", (base * F.coalesce("weight", F.lit(1.0)) + F.coalesce("m", F.lit(0.0))).alias("weight"))
 
 
@@ -435,13 +436,13 @@ pairs AS (SELECT x.theme AS a, y.theme AS b, count(*) AS n FROM ex x JOIN ex y O
 _FIRST = f"""WITH {_CONV}, {_DOCS}, ex AS (SELECT id, unnest(themes) AS theme FROM c_lab),
 counts AS (SELECT theme, count(*) AS n FROM ex GROUP BY theme),
 pairs AS (SELECT x.theme AS a, y.theme AS b, count(*) AS n FROM ex x JOIN ex y ON x.id = y.id AND x.theme <> y.theme GROUP BY x.theme, y.theme)"""
-_WEIGHTS = "weights AS (SELECT c.theme, 1 + ln(1 + c.n) / 10 + coalesce(least(2e0 * p.k / greatest(p.t, 1), 1e0), 0) AS weight FROM counts c LEFT JOIN (SELECT a, count(*) AS k, sum(n) AS t FROM pairs GROUP BY a) p ON c.theme = p.a)"
+_WEIGHTS = "weights AS (SELECT c.theme, 1 + ln(1 + c.n) / 10 + CASE WHEN p.k IS NULL THEN 0 ELSE least(2e0 * p.k / greatest(p.t, 1), 1e0) END AS weight FROM counts c LEFT JOIN (SELECT a, count(*) AS k, sum(n) AS t FROM pairs GROUP BY a) p ON c.theme = p.a)"
 _MUTUAL = """mutual AS (SELECT p.a, p.b, round((p.n / t.t) * log2((p.n / t.t) / ((x.n / t.t) * (y.n / t.t) + 1e-10)), 9) AS mi FROM pairs p JOIN counts x ON p.a = x.theme JOIN counts y ON p.b = y.theme
   CROSS JOIN (SELECT CAST(sum(n) AS DOUBLE) AS t FROM counts) t WHERE p.a < p.b ORDER BY mi DESC, p.a, p.b LIMIT 20)"""
 _REINFORCED = f"""{_WEIGHTS}, {_MUTUAL}, cand AS (SELECT id, unnest(every) AS theme FROM d_uniq),
 near AS (SELECT x.id, x.theme, sum(least(p.n / 100e0, 0.2e0)) AS s FROM cand x JOIN cand y ON x.id = y.id AND x.theme <> y.theme JOIN pairs p ON p.a = x.theme AND p.b = y.theme GROUP BY x.id, x.theme),
 told AS (SELECT x.id, x.theme, sum(0.3e0 * m.mi) AS m FROM cand x JOIN cand y ON x.id = y.id JOIN mutual m ON (m.a = x.theme AND m.b = y.theme) OR (m.b = x.theme AND m.a = y.theme) GROUP BY x.id, x.theme),
-force AS (SELECT k.id, k.theme, (1 + coalesce(least(ln(1 + c.n) / 5, 0.5e0), 0) + coalesce(n.s, 0)) * coalesce(w.weight, 1) + coalesce(t.m, 0) AS weight FROM cand k LEFT JOIN counts c ON k.theme = c.theme LEFT JOIN weights w ON k.theme = w.theme
+force AS (SELECT k.id, k.theme, (1 + CASE WHEN c.n IS NULL THEN 0 ELSE least(ln(1 + c.n) / 5, 0.5e0) END + coalesce(n.s, 0)) * coalesce(w.weight, 1) + coalesce(t.m, 0) AS weight FROM cand k LEFT JOIN counts c ON k.theme = c.theme LEFT JOIN weights w ON k.theme = w.theme
   LEFT JOIN near n ON n.id = k.id AND n.theme = k.theme LEFT JOIN told t ON t.id = k.id AND t.theme = k.theme)"""
 _DWEIGHTS = "dw AS (SELECT theme, 1 / (n / sum(n) OVER () + 0.01e0) AS weight FROM (SELECT theme, count(*) AS n FROM (SELECT unnest(themes) AS theme FROM d_lab) u GROUP BY theme) v)"
 
