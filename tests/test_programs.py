@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import cleaning
-from textloom.operators import folds, programs
+from textloom.operators import folds, programs, recall
 from textloom.sources import chat, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -40,8 +40,22 @@ def test_cleaners_by_hand(spark):
     assert one(spark, cleaning.clean_structured, ["don9t", "doin9 it", "a---b", "x\n##\ny", None]) == ["don't", "doing it", "a\n\n---\n\nb", "x\n\ny", None]
     assert one(spark, cleaning.clean_scanned, ["h\nh\nh\nh\n\nk", "h\nh\nh\nk", "l am"]) == ["k", "h h h k", "I am"]
     assert one(spark, cleaning.clean_speech, ["Hi* there\n\nBob.Then", "***", None]) == ["Hi there. Bob. Then", "", None]
-    assert one(spark, cleaning.clean_response, ["Assistant: yes<|end|>no", "<think>a\nb</think> ok\nUser: more", ""]) == ["yes", "ok", ""]
-    assert one(spark, lambda c: cleaning.clean_response(c, True), ["<think> why </think>so"]) == ["Reasoning:\nwhy\n\nAnswer:\nso"]
+    assert one(spark, cleaning.clean_response, ["Assistant: yes<|im_end|>no", "<think>a\nb</think> ok\nUser: more", ""]) == ["yes", "ok", ""]
+    assert one(spark, lambda c: cleaning.clean_response(c, show_reasoning=True), ["<think> why </think>so"]) == ["💭 **Reasoning:**\nwhy\n\n**Answer:**\nso"]
+    by = lambda family, text: one(spark, lambda c: cleaning.clean_response(c, family), [text])[0]
+    assert by("gemma", "yes<end_of_turn>\n<start_of_turn>user") == "yes" and by("llama", "a<|end_header_id|>b<|eot_id|>c") == "ab" and by("mistral", "ok [INST] more") == "ok"
+    assert by("phi", "<|assistant|>Two.<|end|>No") == "Two." and by("phi", "It is two. In conclusion, numbers are fine.") == "It is two."
+    assert by("phi", "B. Paris is it\n" + "x" * 600) == "B. Paris is it"
+
+
+def test_encoding_repair(spark):
+    plain = ["Café – “naïve” costs 5 €", "already fine: café", "ASCII", "", None, "Ã alone"]
+    broken = lambda t: t.encode().decode("cp1252", "ignore")
+    assert one(spark, cleaning.repair_encoding, plain) == plain
+    fits = ["Café costs", "déjà vu – “so”", "5 €"]
+    fits = [t for t in fits if all(b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) for b in t.encode())]
+    assert len(fits) >= 2 and one(spark, cleaning.repair_encoding, [broken(t) for t in fits]) == fits
+    assert one(spark, cleaning.repair_encoding, [broken(broken("Café"))]) == ["Café"]
 
 
 def vectors(n, dim, seed=3):
@@ -107,46 +121,11 @@ def test_nearest_recall(spark):
     m = {r[0]: np.array(r[1]) for r in rows}
     want = {q: set(sorted((i for i in m if i != q), key=lambda i: (-float(m[q] @ m[i]), i))[:5]) for q in m if q % 50 == 0}
     got = {}
-    for r in programs.v5_nearest(spark, SF).collect():
-        got.setdefault(r["query"], set()).add(r["id"])
+    for r in recall.v5_nearest(spark, SF).collect():
+        got.setdefault(r["query"], set()).add(r["vec_id"])
     assert sum(len(got[q] & want[q]) for q in want) / (5 * len(want)) >= 0.9
 
 
-def test_rake():
-    t = np.array([[3.0, 1], [2, 8]])
-    m = programs.rake(t, np.array([10.0, 30]), np.array([20.0, 20]))
-    assert np.allclose(m.sum(axis=1), [10, 30], rtol=0.01) and np.allclose(m.sum(axis=0), 20, rtol=0.01)
-
-
-def test_calibration_and_clusters_of_all_themes(spark):
-    sf = "/root/testdata/sf0.1"
-    themes, pairs = programs._themes(spark, sf)
-    counts = sorted(((r["theme"], r["n"]) for r in themes.collect()), key=lambda x: (-x[1], x[0]))
-    together = {(r["a"], r["b"]): r["n"] for r in pairs.collect()}
-    at = {t: i for i, (t, _) in enumerate(counts)}
-    assert len(at) > 500
-    table = np.zeros((len(at), len(at)))
-    for (a, b), n in together.items():
-        table[at[a], at[b]] = n
-    goal = np.array([n for _, n in counts], dtype=float)
-    m = programs.rake(table, goal, goal)
-    got = np.zeros_like(table)
-    for r in programs.calibrate_themes(spark, sf).collect():
-        assert r["a"] != r["b"] and r["n"] > 0
-        got[at[r["a"]], at[r["b"]]] = r["n"]
-    np.fill_diagonal(m, 0)
-    assert (np.abs(got - np.floor(m)) <= (np.abs(m - np.round(m)) < 1e-6)).all()
-    seen, want = set(), []
-    for t, _ in counts:
-        best = sorted((-n, b) for (a, b), n in together.items() if a == t and n >= 3)[:5]
-        if t not in seen and best:
-            members = [t] + [b for _, b in best]
-            seen.update(members)
-            want.append(members)
-    found = [(r["cluster"], r["theme"]) for r in programs.cluster_themes(spark, sf).collect()]
-    assert found == [(i, t) for i, x in enumerate(want) for t in x]
-
-
 def test_chat_shapes(spark, tmp_path):
     msg = {"role": "Human", "content": "hello"}
     shapes = {

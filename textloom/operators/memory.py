@@ -8,55 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators.tables import cosine, g2_cooccurrence, g3_coherence, g7_information, g17_reputation, themes, v4_retrieve
-from textloom.operators.text import b4_content, b7_label, c7_summary, doubles, half_up, q_all
+from textloom.operators.text import c7_summary, doubles
 from textloom.sources.scratch import scratch
 
 
-def f4_quarantine(q):
-    return "SELECT doc_id, coalesce(nullif(lang, ''), 'unknown') AS lang, coalesce(nullif(source, ''), 'unknown') AS source FROM documents WHERE text IS NOT NULL AND text <> ''"
-
-
-def f9_preview(q, least=0.25):
-    """The results of a query that score ``least`` or more, each as its score and the first 200 characters, in order of rank."""
-    score = f"{cosine(q, 'a.embedding', 'b.embedding')}"
-    rows = f"SELECT r.query, r.rank, round({score}, 6) AS score, substring(d.text, 1, 200) AS head FROM ({v4_retrieve(q)}) r JOIN embeddings a ON r.query = a.vec_id JOIN embeddings b ON r.vec_id = b.vec_id JOIN documents d ON r.vec_id = d.doc_id"
-    line = f"concat('[', {q.fixed('score')}, '] ', head, '...')"
-    return f"SELECT query, md5({q.gather(line, 'rank', 'chr(10)')}) AS preview_md5 FROM ({rows}) s WHERE score >= {least} GROUP BY query"
-
-
-def f15_router(q):
-    """Proposals of a planned action; all of a user where none is planned."""
-    planned = "CASE WHEN event_type IN ('click', 'purchase') OR event_type LIKE 'SET%' THEN 1 ELSE 0 END"
-    return f"SELECT event_id FROM (SELECT event_id, ok, max(ok) OVER (PARTITION BY user_id) AS planned FROM (SELECT event_id, user_id, {planned} AS ok FROM events) a) b WHERE ok = 1 OR planned = 0"
-
-
 def f18_context(q):
     return "SELECT conv_id, turn FROM conversations WHERE length(text) >= 50"
 
 
-def p2_metadata(q):
-    return f"SELECT CAST(conv_id AS VARCHAR(20)) AS conversation_id, CAST(turn AS VARCHAR(20)) AS message_id, coalesce(nullif({q.strip('role')}, ''), 'unknown') AS author FROM conversations"
-
-
-def p6_timestamp(q):
-    """The first time that is given: empty and zero count as missing."""
-    return f"SELECT event_id, coalesce(nullif(nullif({q.json('props', 'k')}, ''), '0'), CAST({q.micros('ts')} AS VARCHAR(20))) AS stamp FROM events"
-
-
-def p7_prompt(q):
-    """System text, context and user text in the marks of a chat family."""
-    rows = "SELECT conv_id, turn, role, text, max(CASE WHEN role = 'system' THEN text END) OVER (PARTITION BY conv_id) AS sys, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS ctx FROM conversations"
-    body = "concat(CASE WHEN sys IS NOT NULL THEN concat('[System: ', sys, ']', chr(10)) ELSE '' END, CASE WHEN ctx IS NOT NULL THEN concat('[Context from memory: ', ctx, ']', chr(10)) ELSE '' END, text)"
-    return f"SELECT conv_id, turn, md5(concat('<|im_start|>user', chr(10), {body}, '<|im_end|>', chr(10), '<|im_start|>assistant', chr(10))) AS prompt_md5 FROM ({rows}) r WHERE role = 'user'"
-
-
-def j7_weights(q):
-    """Mean weight of a document's themes: 1 / (share + 0.01), and 1 for themes that occur once."""
-    known = f"SELECT theme, 1D / (n / CAST(total AS DOUBLE) + 0.01D) AS weight, n FROM (SELECT theme, count(*) AS n FROM {themes(q)} t GROUP BY theme) c CROSS JOIN (SELECT count(*) AS total FROM {themes(q)} a) s"
-    return doubles(q, f"SELECT t.conv AS doc_id, round(avg(coalesce(k.weight, 1D)), 5) AS weight FROM {themes(q)} t LEFT JOIN (SELECT theme, weight FROM ({known}) w WHERE n > 1) k ON t.theme = k.theme GROUP BY t.conv")
-
-
 def j8_tags(q):
     """Words that a turn shares with the one before it, and the attention that adds to a score of a half."""
     words = q.distinct(q.words("lower(text)"))
@@ -65,83 +24,6 @@ def j8_tags(q):
     return doubles(q, f"SELECT conv_id, turn, {shared} AS overlap, round(0.5D + 0.1D * {shared} / CAST(greatest({q.size('p')}, 1) AS DOUBLE), 6) AS score FROM ({rows}) b WHERE p IS NOT NULL")
 
 
-def j12_pairs(q):
-    return f"SELECT x.conv AS doc_id, x.theme AS a, y.theme AS b FROM {themes(q)} x JOIN {themes(q)} y ON x.conv = y.conv AND x.theme <> y.theme"
-
-
-def l2_distance(q):
-    """The five nearest by Euclidean distance; queries are every 50th vector, few by definition."""
-    hint = "/*+ BROADCAST(x) */ " if type(q).__name__ == "Spark" else ""
-    square = f"{q.dot('x.embedding', 'x.embedding')} + {q.dot('y.embedding', 'y.embedding')} - 2 * {q.dot('x.embedding', 'y.embedding')}"
-    rows = f"SELECT {hint}x.vec_id AS query, y.vec_id, round(sqrt(greatest({square}, 0D)), 6) AS distance FROM embeddings x JOIN embeddings y ON x.vec_id <> y.vec_id WHERE x.vec_id % 50 = 0"
-    return doubles(q, f"SELECT query, vec_id, rank FROM (SELECT query, vec_id, CAST(row_number() OVER (PARTITION BY query ORDER BY distance, vec_id) AS BIGINT) AS rank FROM ({rows}) d) r WHERE rank <= 5")
-
-
-def q_trust(q):
-    """Trust of each proposal: its user's reputation, evidence from tags and earlier like proposals, score, recency, less a time penalty."""
-    like = "PARTITION BY user_id, event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    us = q.micros("ts")
-    rows = f"SELECT event_id, user_id, event_type, value, count(*) OVER ({like}) AS k, coalesce(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) OVER ({like}), 0) AS benefit, {us} - lag({us}) OVER (PARTITION BY user_id ORDER BY event_id) AS gap FROM events"
-    evidence = "0.2D * CASE WHEN e.event_type = 'click' THEN 1D ELSE 0D END + 0.5D * least(1D, e.k / 10D) + 0.3D * CASE WHEN e.k > 0 THEN e.benefit / CAST(e.k AS DOUBLE) ELSE 0D END"
-    trust = f"0.4D * r.ucb + 0.3D * ({evidence}) + 0.2D * least(1D, e.value / 1000D) + CASE WHEN e.gap < 86400000000 THEN 0.05D ELSE 0D END - least(0.2D, coalesce(e.gap, 0) / 36000000000D / 10D)"
-    return doubles(q, f"SELECT e.event_id, e.user_id, round({trust}, 5) AS trust FROM ({rows}) e JOIN ({g17_reputation(q)}) r ON e.user_id = r.user_id")
-
-
-def l3_winner(q):
-    """A user's five best proposals, and the winner among them if its trust exceeds 0.01."""
-    ranked = f"SELECT event_id, user_id, trust, row_number() OVER (PARTITION BY user_id ORDER BY trust DESC, event_id) AS r FROM ({q_trust(q)}) t"
-    return f"SELECT user_id, event_id, CAST(r AS BIGINT) AS rank, r = 1 AND trust > 0.01 AS wins FROM ({ranked}) s WHERE r <= 5"
-
-
-def g18_calibration(q):
-    """Each proposal's trust, calibrated: mean rewards of six buckets, made to rise, with straight lines between; a bucket without rewards keeps its own place."""
-    raw = f"SELECT t.event_id, least(greatest(t.trust, 0D), 1D) AS raw, CASE WHEN e.value > 50 THEN 1D ELSE 0D END AS reward FROM ({q_trust(q)}) t JOIN events e ON t.event_id = e.event_id"
-    means = f"SELECT least(5, floor(raw * 6)) AS bucket, avg(reward) AS mean FROM ({raw}) r GROUP BY least(5, floor(raw * 6))"
-    buckets = " UNION ALL ".join(f"SELECT {i} AS i" for i in range(6))
-    # Six rows.
-    levels = f"SELECT b.i, max(coalesce(o.mean, 0.2D * b.i)) OVER (ORDER BY b.i) AS level FROM ({buckets}) b LEFT JOIN ({means}) o ON b.i = o.bucket"
-    rows = f"SELECT event_id, raw * 5D AS x, CAST(least(5, floor(raw * 5D)) AS INT) AS i FROM ({raw}) s"
-    line = "a.level + (r.x - r.i) * (b.level - a.level)"
-    return doubles(q, f"SELECT r.event_id, {half_up(line, 5)} AS calibrated FROM ({rows}) r JOIN ({levels}) a ON r.i = a.i JOIN ({levels}) b ON least(5, r.i + 1) = b.i")
-
-
-def q_reinforced(q):
-    """A theme's weight in a document: its frequency, and what occurs with it there, times its coherence."""
-    t = themes(q)
-    counts = f"SELECT theme, count(*) AS n FROM {t} c GROUP BY theme"
-    with_ = f"SELECT x.doc_id, x.a, sum(least(g.n / 100D, 0.2D)) AS s FROM ({j12_pairs(q)}) x JOIN ({g2_cooccurrence(q)}) g ON x.a = g.a AND x.b = g.b GROUP BY x.doc_id, x.a"
-    weight = "(1D + least(ln(1D + c.n) / 5D, 0.5D) + coalesce(w.s, 0D)) * coalesce(h.weight, 1D)"
-    return doubles(q, f"SELECT t.conv AS doc_id, t.theme, round({weight}, 5) AS weight FROM {t} t JOIN ({counts}) c ON t.theme = c.theme LEFT JOIN ({with_}) w ON t.conv = w.doc_id AND t.theme = w.a LEFT JOIN ({g3_coherence(q)}) h ON t.theme = h.theme")
-
-
-def b8_adaptive(q):
-    """The best reinforced theme of a document as its label. Themes of two or more documents are known; pairs of high mutual information add confidence. The content type where there are no themes."""
-    known = f"SELECT theme FROM {themes(q)} c GROUP BY theme HAVING count(*) > 1"
-    best = f"SELECT doc_id, theme, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, theme) AS r FROM ({q_reinforced(q)}) w"
-    tops = f"SELECT b.doc_id, min(CASE WHEN b.r = 1 THEN b.theme END) AS theme, count(*) AS k, count(n.theme) AS known FROM ({best}) b LEFT JOIN ({known}) n ON b.theme = n.theme GROUP BY b.doc_id"
-    mutual = f"SELECT x.doc_id, count(*) AS m FROM ({j12_pairs(q)}) x JOIN ({g7_information(q)}) g ON x.a = g.a AND x.b = g.b GROUP BY x.doc_id"
-    confidence = "CASE WHEN t.k IS NULL THEN 0.3D ELSE least(0.95D, 0.5D + 0.1D * t.k + 0.1D * t.known / t.k + 0.05D * least(coalesce(m.m, 0), 3)) END"
-    return doubles(q, f"SELECT c.doc_id, coalesce(t.theme, c.kind) AS primary_theme, round({confidence}, 6) AS confidence FROM ({b4_content(q)}) c LEFT JOIN ({tops}) t ON c.doc_id = t.doc_id LEFT JOIN ({mutual}) m ON c.doc_id = m.doc_id")
-
-
-def b6_candidates(q):
-    """Phrases and words of a document as one sorted set; capitalised words where both are empty."""
-    phrases, words, caps = q.find("text", "[A-Za-z]+[-_][A-Za-z]+"), q.find("lower(text)", "[a-z]{12,}"), q.find("text", "[A-Z][a-z]+")
-    both = q.union(phrases, words)
-    return f"SELECT doc_id, {q.join(f'CASE WHEN {q.size(both)} = 0 THEN {q.union(caps, caps)} ELSE {both} END', ',')} AS candidates FROM documents"
-
-
-def a3_records(q):
-    """The first of equal texts, with its quality and label."""
-    first = "SELECT min(doc_id) AS doc_id FROM documents GROUP BY md5(text)"
-    return f"SELECT f.doc_id, s.quality, l.primary_theme, l.confidence FROM ({first}) f JOIN ({q_all(q)}) s ON f.doc_id = s.doc_id JOIN ({b7_label(q)}) l ON f.doc_id = l.doc_id"
-
-
-def a9_tokens(q, most=512):
-    """Runs of ASCII letters and digits and single other characters as tokens; sequences are cut at ``most``."""
-    return f"SELECT doc_id, least({q.size('w')}, {most}) AS n_tokens, md5({q.join(q.slice('w', '1', str(most)), ' ')}) AS tokens_md5 FROM (SELECT doc_id, {q.find('text', '[A-Za-z0-9]+|[^A-Za-z0-9 ]')} AS w FROM documents) t"
-
-
 def v3_insert(q):
     return doubles(q, f"SELECT e.vec_id, 0.5D AS r, 0D AS b FROM embeddings e WHERE {q.size('e.embedding')} = 64 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = e.vec_id)")
 
@@ -151,18 +33,6 @@ def v11_rehearse(q):
     return f"SELECT d.doc_id, md5(CASE WHEN l.quality = 1 THEN d.text ELSE s.summary END) AS content_md5 FROM documents d JOIN ({c7_summary(q)}) s ON d.doc_id = s.doc_id LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
 
-def v14_tags(q):
-    """The tags of all that a query retrieves."""
-    tags = f"SELECT DISTINCT r.query, e.label FROM ({v4_retrieve(q)}) r JOIN embeddings e ON r.vec_id = e.vec_id"
-    return f"SELECT query, {q.gather('CAST(label AS VARCHAR(20))', 'label', chr(39) + ',' + chr(39))} AS tags FROM ({tags}) t GROUP BY query"
-
-
-def s13_profile(q):
-    """What kind of content a field holds, with counts and lengths."""
-    kind = f"CASE WHEN text IS NULL OR {q.strip('text')} = '' THEN 'empty' WHEN {q.matches('text', '^[ ]*[{]')} THEN 'object' WHEN {q.matches('text', '^[ ]*[\\[]')} THEN 'array' WHEN {q.matches('text', '^[ ]*<')} THEN 'markup' ELSE 'text' END"
-    return f"SELECT field, kind, CAST(count(*) AS BIGINT) AS n, min({q.length('text')}) AS low, max({q.length('text')}) AS high FROM (SELECT field, text, {kind} AS kind FROM (SELECT 'documents' AS field, text FROM documents UNION ALL SELECT 'pages' AS field, html AS text FROM pages UNION ALL SELECT 'conversations' AS field, text FROM conversations UNION ALL SELECT 'events' AS field, props AS text FROM events) a) b GROUP BY field, kind"
-
-
 def k9_vectors(spark, sf_dir, dim: int = 64):
     """A vector memory written as compressed JSON and read back; vectors of another size than ``dim`` are dropped."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", F.array(F.col("label").cast("string")).alias("tags"))
@@ -173,21 +43,9 @@ def k9_vectors(spark, sf_dir, dim: int = 64):
     return back.select("vec_id", F.element_at("tags", 1).alias("tag"), F.round(total, 5).alias("total"))
 
 
-def k11_reputation(spark, sf_dir):
-    """Reputations written as a generation of a versioned table and read back."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    path = f"{scratch(spark, 'k11')}/generation=1"
-    events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("reward"), F.max("event_id").alias("last")).write.parquet(path)
-    return spark.read.schema("user_id long, n long, reward double, last long").parquet(path).withColumn("reward", F.round("reward", 4))
-
-
 QUERIES = {
-    "F4_quarantine": f4_quarantine, "F9_preview": f9_preview, "F15_plan_router": f15_router, "F18_min_context": f18_context, "P2_metadata": p2_metadata, "P6_timestamp": p6_timestamp, "P7_prompt": p7_prompt, "J7_theme_weights": j7_weights,
-    "J8_tag_overlap": j8_tags, "J12_theme_pairs": j12_pairs, "L2_distance": l2_distance, "L3_winner": l3_winner, "Q_trust": q_trust, "G18_calibration": g18_calibration, "Q_reinforced": q_reinforced, "B6_candidates": b6_candidates, "B8_adaptive_label": b8_adaptive, "A3_records": a3_records, "A9_tokens": a9_tokens,
-    "V3_insert": v3_insert, "V11_rehearse": v11_rehearse, "V14_context_tags": v14_tags, "S13_profile": s13_profile,
-}
-PROGRAMS = {"K9_vector_memory": k9_vectors, "K11_reputation_store": k11_reputation}
+    "F18_min_context": f18_context, "J8_tag_overlap": j8_tags, "V3_insert": v3_insert, "V11_rehearse": v11_rehearse, }
+PROGRAMS = {"K9_vector_memory": k9_vectors, }
 ORACLE_SQL = {
     "K9_vector_memory": "SELECT vec_id, CAST(label AS VARCHAR) AS tag, round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total FROM embeddings WHERE len(embedding) = 64",
-    "K11_reputation_store": "SELECT user_id, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS reward, max(event_id) AS last FROM events GROUP BY user_id",
-}
+    }

@@ -130,9 +130,9 @@ def fit_cells(vectors: DataFrame, cells: int | None = None, sample: int | None =
     """Unit centres by k-means on at most ``sample`` vectors (by default 32 a cell, at least 8,192)."""
     cells = cells_for(vectors.count()) if cells is None else cells
     held = bounded_sample(vectors, "id", sample or max(8192, 32 * cells)).select("embedding").collect()
-    m = np.array([r[0] for r in held], dtype=float).reshape(len(held), -1)
-    if not len(m):
+    if not held:
         return np.zeros((0, 0))
+    m = np.array([r[0] for r in held], dtype=float)
     m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
     centres = m[:cells].copy()
     for _ in range(rounds):

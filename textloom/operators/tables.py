@@ -5,52 +5,10 @@ from __future__ import annotations
 from textloom.operators.text import doubles
 
 
-def tokens(q):
-    """(doc_id, term): lower-cased words of three or more ASCII letters."""
-    return f"(SELECT doc_id, item AS term FROM {q.explode('documents', 'doc_id', q.find('lower(text)', '[a-z]{3,}'))} t)"
-
-
-def themes(q):
-    """(conv, theme): the three most frequent terms of a document, the cap that labels carry."""
-    return f"(SELECT conv, theme FROM (SELECT doc_id AS conv, term AS theme, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, term) AS r FROM {tokens(q)} z GROUP BY doc_id, term) y WHERE r <= 3)"
-
-
-def g1_counts(q):
-    return f"SELECT theme, CAST(count(*) AS BIGINT) AS n FROM {themes(q)} t GROUP BY theme"
-
-
-def g2_cooccurrence(q):
-    t = themes(q)
-    return f"SELECT x.theme AS a, y.theme AS b, CAST(count(*) AS BIGINT) AS n FROM {t} x JOIN {t} y ON x.conv = y.conv AND x.theme <> y.theme GROUP BY x.theme, y.theme"
-
-
-def g3_coherence(q):
-    t = themes(q)
-    return doubles(q, f"""SELECT c.theme, round(1D + ln(1D + c.n) / 10D + least(2D * o.partners / CAST(greatest(o.total, 1) AS DOUBLE), 1D), 6) AS weight
-      FROM (SELECT theme, count(*) AS n FROM {t} z GROUP BY theme) c JOIN (SELECT a, count(*) AS partners, sum(n) AS total FROM ({g2_cooccurrence(q)}) g GROUP BY a) o ON c.theme = o.a""")
-
-
-def g6_hierarchy(q):
-    t = themes(q)
-    return f"""SELECT p.theme AS parent, c.theme AS child FROM ({g2_cooccurrence(q)}) g JOIN (SELECT theme, count(*) AS n FROM {t} x GROUP BY theme) p ON g.a = p.theme
-      JOIN (SELECT theme, count(*) AS n FROM {t} y GROUP BY theme) c ON g.b = c.theme WHERE g.n / CAST(c.n AS DOUBLE) > 0.7 AND p.n > 2 * c.n"""
-
-
-def g7_information(q):
-    t = themes(q)
-    return doubles(q, f"""SELECT a, b, round(mi, 6) AS mi FROM (SELECT g.a, g.b, (g.n / CAST(s.total AS DOUBLE)) * log2((g.n / CAST(s.total AS DOUBLE)) / ((x.n / CAST(s.total AS DOUBLE)) * (y.n / CAST(s.total AS DOUBLE)) + 0.0000000001D)) AS mi
-      FROM ({g2_cooccurrence(q)}) g JOIN (SELECT theme, count(*) AS n FROM {t} u GROUP BY theme) x ON g.a = x.theme JOIN (SELECT theme, count(*) AS n FROM {t} v GROUP BY theme) y ON g.b = y.theme
-      CROSS JOIN (SELECT count(*) AS total FROM {t} w) s WHERE g.a < g.b) m ORDER BY round(mi, 9) DESC, a, b LIMIT 20""")
-
-
 def g9_stats(q):
     return "SELECT lang, round(avg(n_chars), 4) AS mean, round(stddev_pop(n_chars), 4) AS std, min(n_chars) AS low, max(n_chars) AS high FROM documents GROUP BY lang"
 
 
-def g10_themes(q):
-    return "SELECT coalesce(nullif(lang, ''), 'general') AS theme, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY coalesce(nullif(lang, ''), 'general')"
-
-
 def g11_sources(q):
     return "SELECT source, n, round(100.0 * n / CAST(sum(n) OVER () AS DOUBLE), 4) AS percent FROM (SELECT source, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY source) s"
 
@@ -59,35 +17,10 @@ def g12_totals(q):
     return "SELECT lang, source, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY ROLLUP (lang, source)"
 
 
-def g13_top(q):
-    return "SELECT source, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 20"
-
-
-def g14_entropy(q):
-    return "SELECT round(-sum(p * log2(p)), 6) AS entropy, CAST(count(*) AS BIGINT) AS uniques FROM (SELECT count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS p FROM documents GROUP BY source) s"
-
-
-def g15_weights(q):
-    return "SELECT source, round(1 / (n / CAST(sum(n) OVER () AS DOUBLE) + 0.01), 6) AS weight FROM (SELECT source, count(*) AS n FROM documents GROUP BY source) s"
-
-
-def a8_sample_weight(q):
-    return f"SELECT d.doc_id, coalesce(w.weight, 1.0) AS weight FROM documents d LEFT JOIN ({g15_weights(q)}) w ON d.source = w.source"
-
-
-def g17_reputation(q):
-    return doubles(q, """SELECT user_id, n, round(mean, 5) AS mean, round(least(greatest(CASE WHEN n = 0 THEN 0.5D ELSE mean + sqrt(2D * ln(n + 1D) / n) * sqrt(greatest(sq - mean * mean, 0D)) END, 0D), 1D), 5) AS ucb
-      FROM (SELECT user_id, CAST(count(*) AS BIGINT) AS n, avg(value / 1000D) AS mean, avg(value / 1000D * value / 1000D) AS sq FROM events GROUP BY user_id) s""")
-
-
 def g19_experts(q):
     return doubles(q, "SELECT event_type, CAST(count(*) AS BIGINT) AS calls, CAST(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS BIGINT) AS success, round(avg(CASE WHEN value > 50 THEN 1D ELSE 0D END), 6) AS success_rate, round(avg(value), 4) AS mean_time FROM events GROUP BY event_type")
 
 
-def g20_dispersion(q):
-    return "SELECT label, round(CASE WHEN count(*) < 2 THEN 0 ELSE stddev_pop(CAST(embedding[{i}] AS DOUBLE)) END, 5) AS dispersion FROM embeddings GROUP BY label".replace("{i}", "0" if type(q).__name__ == "Spark" else "1")
-
-
 def g21_recent(q):
     return "SELECT event_type, round(avg(value), 5) AS mean FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS r FROM events) s WHERE r <= 20 GROUP BY event_type"
 
@@ -97,25 +30,13 @@ def g22_rate(q):
 
 
 def g23_cache(q):
-    return "SELECT user_id, CAST(count(*) AS BIGINT) AS accesses, CAST(count(DISTINCT event_type) AS BIGINT) AS misses, CAST(count(*) - count(DISTINCT event_type) AS BIGINT) AS hits FROM events GROUP BY user_id"
+    return "SELECT user_id, CAST(count(*) AS BIGINT) AS accesses, CAST(count(DISTINCT event_type) AS BIGINT) AS misses, CAST(count(*) - count(DISTINCT event_type) AS BIGINT) AS hits, round((count(*) - count(DISTINCT event_type)) / CAST(count(*) AS DOUBLE), 6) AS hit_rate, CAST(count(DISTINCT event_type) AS BIGINT) AS held FROM events GROUP BY user_id"
 
 
 def g24_lengths(q):
     return "SELECT min(n_chars) AS low, max(n_chars) AS high, round(avg(n_chars), 5) AS mean FROM (SELECT n_chars FROM documents ORDER BY doc_id LIMIT 1000) s"
 
 
-def g25_tfidf(q):
-    t = tokens(q)
-    return doubles(q, f"""SELECT term, df, tf, round(ln((1D + n) / (1D + df)) + 1D, 6) AS idf FROM (SELECT term, CAST(count(DISTINCT doc_id) AS BIGINT) AS df, CAST(count(*) AS BIGINT) AS tf FROM {t} x GROUP BY term) s
-      CROSS JOIN (SELECT count(*) AS n FROM documents) c WHERE df >= 2 ORDER BY tf DESC, term LIMIT 500""")
-
-
-def l4_keywords(q):
-    t = tokens(q)
-    return doubles(q, f"""SELECT doc_id, term, round(score, 5) AS score FROM (SELECT doc_id, term, score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, term) AS r FROM (
-      SELECT a.doc_id, a.term, a.n * b.idf / sqrt(sum(a.n * b.idf * a.n * b.idf) OVER (PARTITION BY a.doc_id)) AS score FROM (SELECT doc_id, term, count(*) AS n FROM {t} x GROUP BY doc_id, term) a JOIN ({g25_tfidf(q)}) b ON a.term = b.term) s) k WHERE r <= 10 AND score > 0.1D""")
-
-
 def l6_per_source(q):
     return "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY md5(concat('42:', CAST(doc_id AS VARCHAR(20)))), doc_id) AS r FROM documents) s WHERE r <= 1666"
 
@@ -124,37 +45,15 @@ def l7_cap(q):
     return "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) s WHERE r <= 1250"
 
 
-def l9_history(q):
-    return "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) s WHERE r <= 100"
-
-
 def w10_session(q):
     us = q.micros("ts")
     return f"SELECT event_id, CAST(count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 899999999 PRECEDING AND CURRENT ROW) AS BIGINT) AS n FROM (SELECT event_id, user_id, {us} AS us FROM events) s"
 
 
-def w12_coverage(q):
-    return "SELECT event_id, CAST(sum(fresh) OVER (ORDER BY event_id) AS BIGINT) AS seen FROM (SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1 THEN 1 ELSE 0 END AS fresh FROM events) s"
-
-
 def w13_align(q):
     return "SELECT coalesce(a.user_id, b.user_id) AS step, a.n AS clicks, b.n AS views FROM (SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'click' GROUP BY user_id) a FULL OUTER JOIN (SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'view' GROUP BY user_id) b ON a.user_id = b.user_id"
 
 
-def cosine(q, a, b):
-    return f"{q.dot(a, b)} / (sqrt({q.dot(a, a)}) * sqrt({q.dot(b, b)}))"
-
-
-def v4_retrieve(q):
-    # Queries are every 50th vector; they are few by definition and stand in a broadcast side.
-    hint = "/*+ BROADCAST(x) */ " if type(q).__name__ == "Spark" else ""
-    return f"SELECT query, vec_id, rank FROM (SELECT {hint}x.vec_id AS query, y.vec_id, CAST(row_number() OVER (PARTITION BY x.vec_id ORDER BY round({cosine(q, 'x.embedding', 'y.embedding')}, 9) DESC, y.vec_id) AS BIGINT) AS rank FROM embeddings x JOIN embeddings y ON x.vec_id <> y.vec_id WHERE x.vec_id % 50 = 0) s WHERE rank <= 5"
-
-
-def g16_evaluate(q):
-    return doubles(q, f"SELECT round(avg(hit), 6) AS precision_at_5, round(avg(rr), 6) AS mrr FROM (SELECT r.query, avg(CASE WHEN a.label = b.label THEN 1D ELSE 0D END) AS hit, max(CASE WHEN a.label = b.label THEN 1D / r.rank ELSE 0D END) AS rr FROM ({v4_retrieve(q)}) r JOIN embeddings a ON r.query = a.vec_id JOIN embeddings b ON r.vec_id = b.vec_id GROUP BY r.query) s")
-
-
 def v2_norm(q):
     return f"SELECT vec_id, round(sqrt({q.dot('embedding', 'embedding')}), 4) AS norm FROM embeddings"
 
@@ -207,10 +106,6 @@ def v13_turns(q):
     return "SELECT conv_id, turn, concat('User: ', p, '\n', 'Assistant: ', text) AS content FROM (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) s WHERE role = 'assistant' AND p IS NOT NULL".replace("\n", "' || chr(10) || '")
 
 
-def e7_retired(q):
-    return "SELECT user_id, max(run) >= 3 AS retired FROM (SELECT user_id, bad, count(*) AS run FROM (SELECT user_id, bad, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, bad ORDER BY event_id) AS island FROM (SELECT user_id, event_id, CASE WHEN value < 50 THEN 1 ELSE 0 END AS bad FROM events) a) b WHERE bad = 1 GROUP BY user_id, bad, island) c GROUP BY user_id"
-
-
 def x_json(q):
     return f"SELECT event_id, CAST({q.json('props', 'k')} AS BIGINT) AS k FROM events"
 
@@ -224,10 +119,8 @@ def s_join(q):
 
 
 QUERIES = {
-    "G1_counts": g1_counts, "G2_cooccurrence": g2_cooccurrence, "G3_coherence": g3_coherence, "G6_hierarchy": g6_hierarchy, "G7_mutual_information": g7_information, "G9_quality_stats": g9_stats, "G10_theme_distribution": g10_themes,
-    "G11_source_distribution": g11_sources, "G12_totals": g12_totals, "G13_top_themes": g13_top, "G14_entropy": g14_entropy, "G15_inverse_weights": g15_weights, "G16_evaluation": g16_evaluate, "G17_reputation": g17_reputation,
-    "G19_expert_stats": g19_experts, "G20_dispersion": g20_dispersion, "G21_recent_average": g21_recent, "G22_step_gap": g22_rate, "G23_cache_stats": g23_cache, "G24_length_stats": g24_lengths,
-    "G25_tfidf": g25_tfidf, "L4_keywords": l4_keywords, "L6_sample_per_source": l6_per_source, "L7_cap_per_source": l7_cap, "L9_history": l9_history, "W10_session": w10_session, "W12_coverage": w12_coverage, "W13_alignment": w13_align,
-    "V2_norm": v2_norm, "V4_retrieve": v4_retrieve, "V8_feedback": v8_feedback, "V9_age": v9_age, "V13_turns": v13_turns, "F7_zero_vector": f7_zero, "F8_dimension": f8_dimension, "J1_zip": j1_zip, "J6_lookup": j6_lookup,
-    "J10_anti": j10_new, "J11_semi": j11_known, "U1_union": u1_union, "U3_intersect": u3_intersect, "U4_except": u4_except, "A8_sample_weight": a8_sample_weight, "E7_retired": e7_retired, "X_json": x_json, "STAR_pricing": s_tpch1, "STAR_joins": s_join,
+    "G9_quality_stats": g9_stats, "G11_source_distribution": g11_sources, "G12_totals": g12_totals, "G19_expert_stats": g19_experts, "G21_recent_average": g21_recent, "G22_step_gap": g22_rate, "G23_cache_stats": g23_cache, "G24_length_stats": g24_lengths,
+    "L6_sample_per_source": l6_per_source, "L7_cap_per_source": l7_cap, "W10_session": w10_session, "W13_alignment": w13_align,
+    "V2_norm": v2_norm, "V8_feedback": v8_feedback, "V9_age": v9_age, "V13_turns": v13_turns, "F7_zero_vector": f7_zero, "F8_dimension": f8_dimension, "J1_zip": j1_zip, "J6_lookup": j6_lookup,
+    "J10_anti": j10_new, "J11_semi": j11_known, "U1_union": u1_union, "U3_intersect": u3_intersect, "U4_except": u4_except, "X_json": x_json, "STAR_pricing": s_tpch1, "STAR_joins": s_join,
 }

@@ -23,17 +23,6 @@ def f3_source(q):
     return "SELECT doc_id, source FROM documents WHERE source = 'src1'"
 
 
-def f10_needs_retrieval(q):
-    keys = ["remember", "recall", "earlier", "before", "previous", "last time", "you said", "what was", "tell me about", "explain", "find", "search"]
-    hit = " OR ".join(q.contains("lower(text)", f"'{k}'") for k in keys)
-    return f"SELECT conv_id, turn, CASE WHEN {hit} OR {q.size(q.words('text'))} >= 5 THEN 1 ELSE 0 END AS wanted FROM conversations"
-
-
-def f11_memory(q):
-    hit = " OR ".join(q.contains("lower(text)", f"'{k}'") for k in ["remember", "earlier", "before", "you said"])
-    return f"SELECT conv_id, turn FROM conversations WHERE {hit}"
-
-
 def f12_policy(q):
     hit = " OR ".join(q.contains("lower(text)", f"'{k}'") for k in ["abusive", "hateful", "illegal"])
     return f"SELECT conv_id, turn, CASE WHEN {hit} THEN 0 ELSE 1 END AS allowed FROM conversations"
@@ -44,32 +33,10 @@ def f13_unsafe(q):
     return f"SELECT page_id, CASE WHEN {hit} OR length(html) NOT BETWEEN 1 AND 20000 THEN 1 ELSE 0 END AS unsafe FROM pages"
 
 
-def f14_experts(q):
-    t = "lower(text)"
-    return f"SELECT conv_id, turn, CASE WHEN {q.contains(t, chr(39) + 'retrieve' + chr(39))} OR {q.contains(t, chr(39) + 'find' + chr(39))} THEN 1 ELSE 0 END AS retrieve, CASE WHEN length(text) > 100 OR {q.contains(t, chr(39) + 'summarize' + chr(39))} THEN 1 ELSE 0 END AS summarise FROM conversations"
-
-
-def f16_generation(q):
-    why = " OR ".join(q.contains("lower(text)", f"'{k}'") for k in ["why", "how", "explain"])
-    return f"SELECT conv_id, turn, CASE WHEN {why} THEN 1 WHEN {q.size(q.words('text'))} < 5 THEN 2 ELSE 0 END AS config FROM conversations"
-
-
-def f17_themes(q):
-    return f"SELECT doc_id, {q.size(q.keep(q.distinct(q.words('lower(text)')), 'x', 'length(x) >= 3'))} AS n_themes FROM documents"
-
-
-def p1_projection(q):
-    return "SELECT conv_id, turn, concat('<|', role, '|>', text) AS text FROM conversations"
-
-
 def p5_author(q):
     return "SELECT conv_id, turn, CASE WHEN lower(role) IN ('human', 'user') THEN 'user' WHEN lower(role) IN ('assistant', 'ai', 'claude') THEN 'assistant' WHEN role IS NULL OR role = '' THEN 'unknown' ELSE lower(role) END AS author FROM conversations"
 
 
-def p3_metadata(q):
-    return f"SELECT doc_id, {q.length('text')} AS length, {q.size(q.words('text'))} AS word_count, {q.size(q.keep(q.sentences('text'), 'x', q.strip('x') + ' <> ' + chr(39) * 2))} AS sentence_count FROM documents"
-
-
 def c7_summary(q):
     return "SELECT doc_id, concat(substring(text, 1, 100), '...') AS summary FROM documents"
 
@@ -118,23 +85,6 @@ def c4_sanitise(q):
     return f"SELECT conv_id, turn, md5({clean}) AS clean_md5, {clean} <> text AS changed FROM conversations"
 
 
-def s3_assembly(q):
-    # Turns in order, joined as pages of a document.
-    agg = "array_join(transform(array_sort(collect_list(struct(turn, text))), x -> x.text), '\n\n')" if type(q).__name__ == "Spark" else "string_agg(text, chr(10) || chr(10) ORDER BY turn)"
-    return f"SELECT conv_id, md5({agg}) AS text_md5 FROM conversations GROUP BY conv_id"
-
-
-def b3_themes(q):
-    # Up to five capitalised words and three hyphenated ones, ASCII.
-    caps, hyphens = q.find("text", "[A-Z][a-z]+"), q.find("text", "[A-Za-z]+[-_][A-Za-z]+")
-    return f"SELECT doc_id, {q.join(q.slice(caps, '1', '5'), ',')} AS capitalised, {q.join(q.slice(hyphens, '1', '3'), ',')} AS joined FROM documents"
-
-
-def c13_checkpoint(q):
-    n = "regexp_extract(url, r'/([0-9]+)', 1)" if type(q).__name__ == "Spark" else "regexp_extract(url, '/([0-9]+)', 1)"
-    return f"SELECT max(CAST(nullif({n}, '') AS BIGINT)) AS latest FROM pages"
-
-
 def chunks(q, size, overlap, table="documents", key="doc_id"):
     step = max(1, size - overlap)
     base = f"(SELECT {key}, text, {q.words('text')} AS w FROM {table})"
@@ -158,20 +108,6 @@ def t2_fixed(q):
     return f"SELECT doc_id, pos AS chunk_index, md5({body}) AS chunk_md5 FROM {starts} s WHERE {q.size('w')} > 0"
 
 
-def t5_chunk_valid(q):
-    starts, _ = chunks(q, 500, 100)
-    body = q.join(q.slice("w", "CAST(item AS INT)", "500"), " ")
-    return f"SELECT doc_id, chunk_index FROM (SELECT doc_id, pos AS chunk_index, {body} AS chunk FROM {starts} s WHERE {q.size('w')} > 0) c WHERE {valid(q, 'chunk')}"
-
-
-PROMPTS = ["What is the main idea?", "Explain the key points.", "Summarise this passage.", "What can be learned here?", "Describe the context.", "What are the implications?", "How would you apply this?", "Discuss the argument."]
-
-
-def t9_prompts(q):
-    table = " UNION ALL ".join(f"SELECT {i} AS k, '{n}' AS prompt" for i, n in enumerate(PROMPTS))
-    return f"SELECT doc_id, prompt FROM (SELECT doc_id, prompt, row_number() OVER (PARTITION BY doc_id ORDER BY md5(concat('42:', CAST(doc_id AS VARCHAR(20)), ':', CAST(k AS VARCHAR(4)))), k) AS r FROM documents CROSS JOIN ({table}) p) x WHERE r <= 4"
-
-
 def d1_md5(q):
     return "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS r FROM documents) x WHERE r = 1"
 
@@ -229,39 +165,10 @@ def q_scores(q):
     return doubles(q, f"SELECT doc_id, {cols} FROM {measured(q)} m")
 
 
-def q_all(q):
-    p = parts(q)
-    total = f"(0.10D * ({p['len_q']}) + 0.20D * ({p['coh_q']}) + 0.20D * ({p['inf_q']}) + 0.15D * ({p['str_q']}) + 0.15D * ({p['lin_q']})) / 0.80D"
-    return doubles(q, f"SELECT doc_id, {half_up(total, 5)} AS quality FROM {measured(q)} m")
-
-
-def f5_gate(q):
-    return f"SELECT doc_id FROM ({q_all(q)}) s WHERE quality >= 0.4"
-
-
-def b4_content(q):
-    has = lambda *k: " OR ".join(q.contains("lower(text)", f"'{x}'") for x in k)
-    return f"SELECT doc_id, CASE WHEN {has('abstract', 'methodology', 'hypothesis')} THEN 'research_content' WHEN {has('chapter', 'section')} THEN 'structured_document' WHEN {has('figure', 'table', 'diagram')} THEN 'visual_reference' WHEN {has('def ', 'function', 'import ')} THEN 'code_content' WHEN {q.contains('text', chr(39) + '?' + chr(39))} THEN 'question_content' ELSE 'general_content' END AS kind FROM documents"
-
-
-def b5_theme(q):
-    # On ASCII roles and event types.
-    return f"SELECT event_id, nullif({q.replace_all(q.replace_all('lower(event_type)', '[^a-z0-9_ -]', ''), ' +', '_')}, '') AS theme FROM events"
-
-
 def a3_sentences(q):
     return f"SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum({q.length('item')}) AS BIGINT) AS chars FROM {q.explode('documents', 'doc_id', q.sentences('text'))} s GROUP BY doc_id"
 
 
-def b7_label(q):
-    # The most frequent terms as themes; the content type where there are none.
-    from textloom.operators.tables import themes
-
-    top = f"SELECT conv, min(CASE WHEN r = 1 THEN theme END) AS first_theme, CAST(count(*) AS BIGINT) AS k FROM {themes(q).replace('SELECT conv, theme FROM', 'SELECT conv, theme, r FROM', 1)} t GROUP BY conv"
-    return doubles(q, f"""SELECT b.doc_id, coalesce(t.first_theme, b.kind) AS primary_theme, CASE WHEN t.k IS NULL THEN 0.3D ELSE least(0.8D, 0.5D + 0.1D * t.k) END AS confidence
-      FROM ({b4_content(q)}) b LEFT JOIN ({top}) t ON b.doc_id = t.conv""")
-
-
 PAIR_BASE = """SELECT conv_id, turn, role, text, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
   lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text FROM ({src}) k"""
 
@@ -271,30 +178,10 @@ def curated(q):
     return f"SELECT conv_id, turn, role, text FROM ({first}) f WHERE r = 1"
 
 
-def pair_score(q, user, answer):
-    """Readability, density and score of a question and its answer."""
-    u, a = q.length(user), q.length(answer)
-    aw, parts_ = q.size(q.words(answer)), q.size(q.sentences(answer))
-    read = f"least(1D, 20D / greatest({aw} / CAST(greatest({parts_}, 1) AS DOUBLE), 1D))"
-    dens = f"{q.size(q.distinct(q.words(f'lower({answer})')))} / CAST(greatest({aw}, 1) AS DOUBLE)"
-    ratio = f"{a} / CAST(greatest({u}, 1) AS DOUBLE)"
-    return read, dens, f"(CASE WHEN {ratio} BETWEEN 0.1D AND 10D THEN 1D ELSE 0.5D END) * 0.7D * (0.7D + 0.3D * ({read})) * (0.8D + 0.2D * ({dens}))"
-
-
-def a1_pairs(q):
-    read, dens, score = pair_score(q, "prev_text", "text")
-    return doubles(q, f"""SELECT * FROM (SELECT conv_id, turn, {q.length('prev_text')} AS user_len, {q.length('text')} AS assistant_len, {half_up(read, 5)} AS readability, {half_up(dens, 5)} AS density, {half_up(score, 5)} AS score
-      FROM ({PAIR_BASE.format(src=curated(q))}) p WHERE role = 'assistant' AND prev_role = 'user') s WHERE score >= 0.46""")
-
-
 def j2_pairing(q):
     return f"SELECT conv_id, turn, md5(prev_text) AS user_md5, md5(text) AS assistant_md5 FROM ({PAIR_BASE.format(src='SELECT * FROM conversations WHERE ' + q.strip('text') + ' <> ' + chr(39) * 2)}) p WHERE role = 'assistant' AND prev_role = 'user'"
 
 
-def w2_context(q):
-    return "SELECT conv_id, turn, concat_ws(' ', lag(text, 3) OVER w, lag(text, 2) OVER w, lag(text, 1) OVER w) AS context FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)"
-
-
 def w1_order(q):
     return "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS ordinal FROM conversations"
 
@@ -307,9 +194,7 @@ def w7_splits(q):
 
 
 QUERIES = {
-    "F1_ingest_validator": f1_ingest, "F2_formatter_validator": f2_validate, "F3_source_filter": f3_source, "F5_quality_gate": f5_gate, "F10_retrieval_needed": f10_needs_retrieval, "F11_memory_context": f11_memory,
-    "F12_policy": f12_policy, "F13_unsafe_prompt": f13_unsafe, "F14_expert_predicates": f14_experts, "F16_generation_config": f16_generation, "F17_theme_filter": f17_themes, "P1_training_projection": p1_projection,
-    "P3_metadata": p3_metadata, "P5_author": p5_author, "C7_summary_stub": c7_summary, "C8_smart_truncate": c8_truncate, "C11_cache_key": c11_cache_key, "C4_sanitise": c4_sanitise, "C9_answer_truncate": c9_answer, "C10_speech_truncate": c10_speech, "S3_assembly": s3_assembly, "B3_heuristic_themes": b3_themes, "C13_checkpoint_number": c13_checkpoint, "T1_word_windows": t1_windows,
-    "T2_fixed_chunks": t2_fixed, "T5_chunk_validation": t5_chunk_valid, "T9_prompts": t9_prompts, "D1_exact_dedup": d1_md5, "D2_clean_dedup": d2_clean, "D3_sha_dedup": d3_sha, "D4_split_dedup": d4_split, "D9_ordered_distinct": d9_distinct,
-    "Q_scores": q_scores, "Q_all": q_all, "B4_content_type": b4_content, "B7_label": b7_label, "B5_theme_normaliser": b5_theme, "T3_sentences": a3_sentences, "A1_pairs": a1_pairs, "J2_pairing": j2_pairing, "W1_order": w1_order, "W2_context": w2_context, "A5_splits": w7_splits,
+    "F1_ingest_validator": f1_ingest, "F2_formatter_validator": f2_validate, "F3_source_filter": f3_source, "F12_policy": f12_policy, "F13_unsafe_prompt": f13_unsafe, "P5_author": p5_author, "C7_summary_stub": c7_summary, "C8_smart_truncate": c8_truncate, "C11_cache_key": c11_cache_key, "C4_sanitise": c4_sanitise, "C9_answer_truncate": c9_answer, "C10_speech_truncate": c10_speech, "T1_word_windows": t1_windows,
+    "T2_fixed_chunks": t2_fixed, "D1_exact_dedup": d1_md5, "D2_clean_dedup": d2_clean, "D3_sha_dedup": d3_sha, "D4_split_dedup": d4_split, "D9_ordered_distinct": d9_distinct,
+    "Q_scores": q_scores, "T3_sentences": a3_sentences, "J2_pairing": j2_pairing, "W1_order": w1_order, "A5_splits": w7_splits,
 }

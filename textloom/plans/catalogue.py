@@ -29,4 +29,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: make(Oracle()) for name, make in OPERATORS.items()} | streams.ORACLE_SQL | programs.ORACLE_SQL | memory.ORACLE_SQL | labels.ORACLE_SQL | dialogue.ORACLE_SQL | connectors.ORACLE_SQL | recall.ORACLE_SQL | sequences.ORACLE_SQL | knowledge.ORACLE_SQL
+    return {name: make(Oracle()) for name, make in OPERATORS.items()} | streams.ORACLE_SQL | programs.ORACLE_SQL | memory.ORACLE_SQL | passages.ORACLE_SQL | labels.ORACLE_SQL | dialogue.ORACLE_SQL | connectors.ORACLE_SQL | recall.ORACLE_SQL | sequences.ORACLE_SQL | knowledge.ORACLE_SQL

@@ -58,12 +58,5 @@ def a5_splits(spark, sf_dir):
     return split_blocks(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "n_chars")
 
 
-def w12_coverage(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    firsts = events.groupBy("user_id").agg(F.min("event_id").alias("first"))
-    fresh = events.select("event_id", "user_id").join(firsts, "user_id").select("event_id", F.when(F.col("event_id") == F.col("first"), 1).otherwise(0).alias("fresh"))
-    return running_sum(fresh, [F.asc("event_id")], "fresh", "seen").select("event_id", F.col("seen").cast("long").alias("seen"))
-
-
 #: In place of the SQL of the same names, whose windows span the whole table.
-PROGRAMS = {"A5_splits": a5_splits, "W12_coverage": w12_coverage}
+PROGRAMS = {"A5_splits": a5_splits, }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_splits(df: DataFrame, path: str, split: str = "split", gzip: bool = False) -> None:
@@ -21,13 +20,3 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def ingest(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is not yet known, one per key."""
-    return df.dropDuplicates([key]).join(known.select(key), key, "left_anti")
-
-
-def summary(df: DataFrame, split: str, score: str, source: str) -> DataFrame:
-    """(kind, name, n, mean, std, low, high): totals and quality per split, and rows per source."""
-    stats = [F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("low"), F.max(score).alias("high")]
-    per = lambda kind, c: df.groupBy(F.lit(kind).alias("kind"), F.col(c).alias("name")).agg(F.count(F.lit(1)).alias("n"), *stats)
-    return per("split", split).unionByName(per("source", source))

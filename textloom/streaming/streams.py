@@ -88,7 +88,7 @@ def query_events(stream: DataFrame) -> DataFrame:
 def index_vectors(spark: SparkSession, sf_dir: str, cells: int = 16, files: int = 16) -> DataFrame:
     """(vec_id, cell): an inverted file kept up to date batch by batch, each vector in its nearest cell.
 
-    Centres are fitted once, on at most 8,192 vectors. A batch holds at most ``files`` files and
+    Centres are fitted once, on a bounded sample. A batch holds at most ``files`` files and
     overwrites its own folder, so a repeated batch adds nothing twice. Zero and null vectors are not indexed.
     """
     good = F.exists("embedding", lambda x: x != 0)
