@@ -341,7 +341,7 @@ def v4_retrieve(spark, sf_dir):
 
 
 def l2_distance(spark, sf_dir):
-    return _asked(spark, sf_dir, metric="distance").select("query", F.col("id").alias("vec_id"), "rank", F.round("score", 5).alias("distance"))
+    return _asked(spark, sf_dir, metric="distance").select("query", F.col("id").alias("vec_id"), "rank", F.col("score").alias("distance"))
 
 
 def v5_nearest(spark, sf_dir):
@@ -513,7 +513,7 @@ SELECT doc_id, pos, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS
     "V2_unit_vectors": """WITH s AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CASE WHEN vec_id % 7 = 0 THEN 0 ELSE CAST(unnest(embedding) AS DOUBLE) END AS x FROM embeddings)
 SELECT vec_id, pos, round(CASE WHEN vec_id % 7 = 0 THEN 0e0 ELSE x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) END, 5) AS x FROM s""",
     "V4_retrieve": f"{_R} SELECT query, vec_id, rank FROM r",
-    "L2_distance": f"SELECT query, vec_id, rank, round(-score, 5) AS distance FROM ({_scored('distance', 5)}) z",
+    "L2_distance": f"SELECT query, vec_id, rank, -score AS distance FROM ({_scored('distance', 5)}) z",
     "G16_evaluation": f"""WITH r AS ({_scored('cosine', 10)}), t AS (SELECT a.vec_id AS query, b.vec_id FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.vec_id % 50 = 0),
 n AS (SELECT query, count(*) AS relevant FROM t GROUP BY query), h AS (SELECT r.query, count(t.vec_id) AS hits, count(*) AS shown, min(CASE WHEN t.vec_id IS NOT NULL THEN rank END) AS first FROM r LEFT JOIN t ON t.query = r.query AND t.vec_id = r.vec_id GROUP BY r.query)
 SELECT round(avg(coalesce(hits / relevant, 0)), 6) AS recall, round(avg(coalesce(hits / shown, 0)), 6) AS precision, round(avg(coalesce(1e0 / first, 0)), 6) AS mrr, count(*) AS num_queries FROM n LEFT JOIN h USING (query)""",
