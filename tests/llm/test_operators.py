@@ -551,3 +551,17 @@ def test_near_copy_recall_at_scale_of_tables(spark):
     links += [(a, b) for a, b in zip(blank, blank[1:], strict=False)]
     want = roots(len(texts), links)
     assert kept_near(spark, texts) == [i for i, r in enumerate(want) if i == r]
+
+
+def test_near_copies_come_from_fingerprints_and_are_checked(spark, monkeypatch):
+    """Without the join on shingles, SimHash finds the copy of few edits; texts of one fingerprint but other shingles stay."""
+    long, line = prose(3000), prose(12)
+    # Of the last two most shingles are those of a repeated line, so that fingerprints agree; as sets they differ.
+    rows = [(1, long), (2, long + " zu"), (3, (line + " ") * 2000 + prose(40)), (4, (line + " ") * 2000 + prose(40)), (5, prose(50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = {r["doc_id"]: r["component"] for r in simhash.near_duplicates(docs).collect()}
+    assert groups == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
+    kept = lambda: sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect())
+    assert kept() == [1, 3, 4, 5]
+    monkeypatch.setattr(jaccard, "shared_prefixes", lambda rows, size, similarity: spark.createDataFrame([], "token long, node long, size int, pos int, bits binary"))
+    assert kept() == [1, 3, 4, 5]

@@ -301,8 +301,11 @@ def shared_prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
     return written(found.where("n > 1").drop("n", "bits").join(bits, "node"), "jaccard-bits")
 
 
-def similar_groups(rows: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(node, root) for every text (node, text; a written table, nodes unique) that is connected to another; root is the smallest node."""
+def similar_groups(rows: DataFrame, size: int = 5, similarity: float = 0.8, candidates: DataFrame | None = None) -> DataFrame:
+    """(node, root) for every text (node, text; a written table, nodes unique) that is connected to another; root is the smallest node.
+
+    candidates: pairs of nodes (members, sorted) found by other means; they are compared first, with those of the prefixes' ends.
+    """
     found = shared_prefixes(rows, size, similarity)
     row = F.struct("node", "size", "pos", "bits")
     ends = found.groupBy("token").agg(F.min(row).alias("low"), F.max(row).alias("high"))
@@ -314,7 +317,8 @@ def similar_groups(rows: DataFrame, size: int = 5, similarity: float = 0.8) -> D
     apart = sum((F.bit_count(word("x", i).bitwiseXOR(word("y", i))) for i in range(1, 4)), F.bit_count(word("x", 0).bitwiseXOR(word("y", 0))))
     near = found.alias("x").join(ends.alias("y"), "token").where("x.node <> y.node")
     near = near.where((rest * (1 + similarity) >= both * similarity - 1e-6) & (apart * (1 + similarity) <= both * (1 - similarity) + 1e-6))
-    pairs = near.select(F.array(F.least("x.node", "y.node"), F.greatest("x.node", "y.node")).alias("members")).distinct()
+    pairs = near.select(F.array(F.least("x.node", "y.node"), F.greatest("x.node", "y.node")).alias("members"))
+    pairs = (pairs if candidates is None else pairs.unionByName(candidates)).distinct()
     linked = written(links(pairs, None, rows, size, similarity), "jaccard-links")
     roots = written(components(linked), "jaccard-roots")
     # All other texts that may be similar, unless they are connected already.

@@ -8,9 +8,10 @@ pairs. Keys with more classes than CELL are dealt out as pairs of hash slices,
 so that no task holds more than two slices.
 
 With ``blocks`` blocks of which ``shared`` must agree, all pairs at up to
-``blocks - shared`` differing bits are found (pigeonhole principle). Near copies
-by the Jaccard similarity of word shingles are found without fingerprints
-(``jaccard.py``).
+``blocks - shared`` differing bits are found (pigeonhole principle). The stage of
+the pipeline takes near copies from these groups, checked by the Jaccard similarity
+of word shingles; those whose fingerprints are further apart are found by a join on
+shingles (``jaccard.py``), so that none is missed.
 """
 
 from __future__ import annotations
@@ -231,6 +232,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies (Jaccard of five-word shingles 0.8 or more) stays: the one with the smallest id.
 
+    Texts of a SimHash component are compared with its first, exactly; near copies that
+    this leaves apart are found by their shingles.
     Null ids come after all others. Of rows that repeat both id and text, the
     one with the smallest hash of its columns stays, once. Texts without words
     are copies of each other. An empty table gives no rows. Extra columns stay,
@@ -243,7 +246,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     first = F.struct(F.col(f"`{id_col}`").isNull().alias("null"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
     distinct = docs.select(row.alias("row"), key.alias("class"), first.alias("first")).groupBy("class").agg(F.min_by("row", "first").alias("row"), F.min("first").alias("first"))
     distinct = written(distinct.select("row", "first", F.monotonically_increasing_id().alias("node")), "near-texts")
-    grouped = written(similar_groups(distinct.select("node", F.col("row").getField(text).alias("text"))), "near-groups")
+    rows = distinct.select("node", F.col("row").getField(text).alias("text"))
+    close = near_duplicates(rows, id_col="node").where("node <> component").select(F.array("component", "node").alias("members"))
+    grouped = written(similar_groups(rows, candidates=close), "near-groups")
     members = distinct.select("node", "first").join(grouped, "node")
     kept = members.groupBy("root").agg(F.min_by("node", F.struct("first", "node")).alias("kept"))
     # Written, as the size of a small table spares the texts a shuffle.
