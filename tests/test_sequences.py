@@ -3,7 +3,8 @@
 import numpy as np
 import pandas as pd
 
-from textloom.operators import folds, sequences
+from textloom.functions.embedding import word_hash
+from textloom.operators import connectors, folds, sequences
 
 
 def test_threads_of_a_large_source_stay_in_one_task(spark):
@@ -28,3 +29,13 @@ def test_threads_of_a_large_source_stay_in_one_task(spark):
             spark.conf.set(f"spark.sql.{k}", v)
     assert {r["id"]: int(r["thread_id"][7:]) for r in got} == want
     assert "SortMergeJoin" in plan and "REPARTITION_BY_COL" in plan  # a shuffle of its own after the join
+
+
+def test_batches_of_texts_whose_counts_cancel(spark, tmp_path):
+    """Two words of one place and opposite signs: the vector is still of unit length, as K7's SQL has it."""
+    words = [f"w{i}" for i in range(2000)]
+    up = next(w for w in words if word_hash(w) & 0x80000000)
+    down = next(w for w in words if not word_hash(w) & 0x80000000 and word_hash(w) % 64 == word_hash(up) % 64)
+    rows = [(0, f"{up} {down}"), (1, up), (2, "..."), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["square"] for r in connectors.k7_batches(spark, str(tmp_path)).collect()} == {0: 1.0, 1: 1.0, 2: 0.0, 3: 0.0}

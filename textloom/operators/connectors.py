@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.embedding import embed_column
+from textloom.functions.embedding import HashedWords, embed_column
 from textloom.operators import dialogue, labels
 from textloom.operators.labels import _CONV, stored
 from textloom.operators.text import t1_windows
@@ -319,7 +319,7 @@ def k7_batches(spark, sf_dir):
     """Documents embedded in batches that are kept when a run breaks off."""
     at = scratch(spark, "k7")
     rows = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    make = lambda b: b.select("doc_id", F.round(F.aggregate(embed_column(F.col("text")), F.lit(0.0), lambda s, x: s + x * x), 6).alias("square"))
+    make = lambda b: b.select("doc_id", F.round(F.aggregate(embed_column(F.col("text"), HashedWords(whole=True)), F.lit(0.0), lambda s, x: s + x * x), 6).alias("square"))
     stores.in_batches(rows, "doc_id", at, make, 4, stop_after=1)
     return stores.in_batches(rows, "doc_id", at, make, 4).select("doc_id", "square")
 
