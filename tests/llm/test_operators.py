@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -565,3 +568,38 @@ def test_near_copies_come_from_fingerprints_and_are_checked(spark, monkeypatch):
     assert kept() == [1, 3, 4, 5]
     monkeypatch.setattr(jaccard, "shared_prefixes", lambda rows, size, similarity: spark.createDataFrame([], "token long, node long, size int, pos int, bits binary"))
     assert kept() == [1, 3, 4, 5]
+
+
+def test_tables_of_the_driver_start_no_other_python_workers(spark, folder):
+    made = common.small_table(spark, [(1, np.int64(1 << 40), None, 0.5), (2, 3, "x", None)], "a int, b long, c string, d double")
+    assert made.dtypes == [("a", "int"), ("b", "bigint"), ("c", "string"), ("d", "double")]
+    assert [tuple(r) for r in made.collect()] == [(1, 1 << 40, None, 0.5), (2, 3, "x", None)]
+    assert not common.small_table(spark, [], "a int").collect()
+    docs = common.load(spark, folder, "documents")
+    for df in (mixing.mix(docs), mixing.sample_mix(docs), sharding.kd_shards(docs, n_shards=4)):
+        assert "RDD" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_token_counts_hold_little(spark):
+    """The counts are right however often a task puts them out, and a task holds much less than its batch and all tokens at once."""
+    rng = np.random.default_rng(5)
+    words = [f"w{x:x}".encode() for x in rng.integers(0, 1 << 40, 150_000)]
+    found = [b" ".join(words[i] for i in rng.integers(0, len(words), 300)).decode() for _ in range(3000)]
+    df = MagicMock()
+    toxicity._counts(df, ["label"])
+    count = df.select.return_value.mapInArrow.call_args[0][0]
+    batch = pa.RecordBatch.from_arrays([pa.array(found), pa.array([i % 2 for i in range(len(found))], pa.int32())], names=["text", "label"])
+    tracemalloc.start()
+    got, n = Counter(), 0
+    try:
+        for b in count(iter([batch])):
+            n += sum(b.column(2).to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    for b in count(iter([batch])):
+        for w, label, k in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
+            got[w, label] += k
+    want = Counter((w, i % 2) for i, t in enumerate(found) for w in toxicity.tokens(common.fold_words(t.encode())))
+    assert got == want and n == sum(want.values())
+    assert peak < 60e6

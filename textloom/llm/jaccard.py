@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_stage, fold_words, texts, whole_groups, written
+from textloom.llm.common import arrow_stage, fold_words, texts, texts_by_few, whole_groups, written
 from textloom.llm.components import components
 
 #: Hash buckets in which shingles are counted, and those of one row of counts.
@@ -73,8 +74,8 @@ def counts(rows: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                found = [shingle_hashes(fold_words(t), size) for t in texts(batch.column(0).slice(at, 256))]
+            for few in texts_by_few(batch.column(0)):
+                found = [shingle_hashes(fold_words(t), size) for t in few]
                 n += np.bincount(_bucket(np.concatenate(found)), minlength=BUCKETS)
         if n.any():
             parts = [x.tobytes() for x in n.astype("<i8").reshape(-1, PART)]
@@ -110,7 +111,7 @@ def prefixes(rows: DataFrame, size: int, similarity: float, seen: np.ndarray) ->
 
         waiting = 0
         for batch in batches:
-            for node, t in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+            for node, t in zip(batch.column(0).to_pylist(), chain.from_iterable(texts_by_few(batch.column(1))), strict=True):
                 s = shingle_hashes(fold_words(t), size)
                 if not len(s):
                     continue

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_stage, fold_words, load, spare, texts, written
+from textloom.llm.common import arrow_stage, fold_words, load, small_table, spare, texts, written
 
 TOPICS = 8
 #: Columns that mix() adds.
@@ -99,8 +99,9 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
     out = T.StructType([T.StructField(c_tokens, T.LongType()), T.StructField(c_topic, T.StringType())])
 
     def fn(cols):
-        words = [fold_words(t) for t in texts(cols["text"])]
-        return [pa.array([len(w) for w in words], pa.int64()), pa.array([str(topic_of(w, n_topics)) for w in words])]
+        # The words of one text at a time.
+        found = [(len(w), str(topic_of(w, n_topics))) for w in map(fold_words, texts(cols["text"]))]
+        return [pa.array([n for n, _ in found], pa.int64()), pa.array([t for _, t in found], pa.string())]
 
     def named(column: str | None, dim: str) -> Column:
         if column is None or column not in df.columns:
@@ -133,7 +134,7 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
     schema = T.StructType([T.StructField(c, T.StringType()) for _, c in dims] + [T.StructField(c, T.DoubleType()) for c in (c_weight, c_probability)])
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(t_id)), 11) / F.lit(float(1 << 53))
     rows = rows.drop(c_weight, c_probability, c_selected)
-    return rows.join(F.broadcast(spark.createDataFrame(table, schema)), [c for _, c in dims], "left").withColumn(c_selected, draw < F.col(c_probability)).drop(t_id)
+    return rows.join(F.broadcast(small_table(spark, table, schema)), [c for _, c in dims], "left").withColumn(c_selected, draw < F.col(c_probability)).drop(t_id)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import load, written
+from textloom.llm.common import load, small_table, written
 
 MAX_BINS = 1 << 17
 #: Rows of one numbering task.
@@ -33,7 +33,7 @@ def _median_cuts(groups: DataFrame, wanted: dict[int, tuple[str, float]]) -> dic
     while len(cuts) < len(wanted):
         open_ = [n for n in wanted if n not in cuts]
         bins = max(16, MAX_BINS // len(open_))
-        plan = spark.createDataFrame([(n, DIMS.index(wanted[n][0]), lo[n][0], lo[n][1], max(1, -(-(lo[n][1] - lo[n][0] + 1) // bins))) for n in open_], "node int, dim int, lo long, hi long, step long")
+        plan = small_table(spark, [(n, DIMS.index(wanted[n][0]), lo[n][0], lo[n][1], max(1, -(-(lo[n][1] - lo[n][0] + 1) // bins))) for n in open_], "node int, dim int, lo long, hi long, step long")
         found = (
             groups.join(F.broadcast(plan), "node")
             .withColumn("k", _key(F.col("dim")))
@@ -96,13 +96,13 @@ def kd_shards(df: DataFrame, n_shards: int | None = None, target_bytes: int | No
             grown[n], grown[right] = leaves[n] // 2, leaves[n] - leaves[n] // 2
             starts[right] = first[n] + leaves[n] // 2
             plan.append((n, DIMS.index(dim), cuts[n], right))
-        cut = F.broadcast(spark.createDataFrame(plan, "node int, dim int, cut long, right int"))
+        cut = F.broadcast(small_table(spark, plan, "node int, dim int, cut long, right int"))
         groups = written(
             groups.join(cut, "node", "left").withColumn("node", F.when(F.col("cut").isNotNull() & (_key(F.col("dim")) > F.col("cut")), F.col("right")).otherwise(F.col("node"))).drop("dim", "cut", "right"),
             "kd-groups",
         )
         leaves, first = grown, starts
-    names = F.broadcast(spark.createDataFrame(sorted(first.items()), "node int, shard int"))
+    names = F.broadcast(small_table(spark, sorted(first.items()), "node int, shard int"))
     placed = rows.join(groups.join(names, "node").select("h", "text_crc32", "size", "shard"), ["h", "text_crc32", "size"]).select("id", "size", "text_crc32", "h", "shard")
     return numbered(placed, "id", rows.count()).withColumnRenamed("id", id_col)
 
